@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, packing
+from tidewatch.llm import bpe, packing, quality, simhash_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": bpe.op3_bpe,
+        "op7_quality": quality.op7_quality,
         "op8_packing": packing.op8_packing,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_simhash_dedup": simhash_dedup.op10_simhash_dedup,
     }
 
 
