@@ -29,6 +29,8 @@ from tidewatch.llm.wordbpe import encoder
 
 CAPACITY = 2048
 SEPARATOR = 0
+#: Rows that are worked on at a time, of those that Spark sends together.
+ROWS = 1000
 #: (number of sequences, the lengths in each)
 Group = tuple[int, tuple[int, ...]]
 
@@ -203,7 +205,7 @@ def cut_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path, by_library=True)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             packed = bpe.packed([t or "" for t in batch.column("text").to_pylist()])
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, b in enumerate(packed):

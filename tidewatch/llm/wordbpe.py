@@ -19,8 +19,11 @@ from array import array
 
 import regex
 
-#: An encoder forgets its words beyond this number; bounds a worker's memory.
-MAX_WORDS = 1_000_000
+#: An encoder keeps so many distinct words; later ones only while their texts
+#: are encoded. Both bounds are on a worker's memory, results don't depend on them.
+MAX_WORDS = 500_000
+#: Characters that are cut into words at a time.
+STRIDE = 2_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -50,6 +53,18 @@ def _ends(tokens: dict[str, int]) -> dict[str, tuple[int, ...]]:
     return {k: tuple(sorted(v, reverse=True)) for k, v in found.items()}
 
 
+class _Words(dict):
+    """Encodings of chunks. An unknown chunk gets a place that is filled in
+    before the texts are joined."""
+
+    def __init__(self, start: dict):
+        super().__init__(start)
+        self.pending: dict[str, bytearray] = {}
+
+    def __missing__(self, chunk: str) -> bytearray:
+        return self.pending.setdefault(chunk, bytearray())
+
+
 class WordBpe:
     """Encodes texts exactly as the tokenizers library does with this file,
     special tokens in the text included, without added special tokens."""
@@ -85,7 +100,7 @@ class WordBpe:
         for t, i in [*self.vocab.items(), *self.special.items()]:
             self.names[i] = t
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Words({i: i.to_bytes(4, "little") for i in self.special.values()})
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether BPE, run on both tokens' symbols, keeps the border between
@@ -182,30 +197,32 @@ class WordBpe:
                 text = text.replace("Σ", "σ")
         return text.lower()
 
-    def learn(self, chunks: set[str]) -> None:
-        """Adds the encodings of white-space-free chunks as packed uint32."""
-        new = chunks - self.words.keys()
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words.clear()
-            new = chunks
+    def learn(self, pending: dict[str, bytearray]) -> None:
+        """Puts the packed uint32 ids of white-space-free chunks in place."""
         if len(self.pairs) > MAX_WORDS:
             self.pairs.clear()
-        if self.by_library:
-            for c, e in zip(new, self.library.encode_batch_fast(list(new), add_special_tokens=False), strict=True):
-                self.words[c] = array("I", e.ids).tobytes()
-            return
         symbols, parts, words = self.symbols, {}, set()
-        for c in new:
-            if not c.isascii() and any(unicodedata.category(x) == "Cn" for x in c):
-                # letters younger than this Python's tables: only the library knows its own
-                self.words[c] = array("I", self.library.encode(c, add_special_tokens=False).ids).tobytes()
-                continue
-            cut = (c,) if c.isascii() and c.isalpha() else self.cut.findall(c)
-            parts[c] = cut = [w if w.isascii() and w.isprintable() else "".join([symbols[b] for b in w.encode()]) for w in cut]
-            words.update(cut)
-        ids = self.encode_words(words)
-        for c, cut in parts.items():
-            self.words[c] = array("I", ids[cut[0]] if len(cut) == 1 else [i for w in cut for i in ids[w]]).tobytes()
+        if self.by_library:
+            found = self.library.encode_batch_fast(list(pending), add_special_tokens=False)
+            for put, e in zip(pending.values(), found, strict=True):
+                put[:] = array("I", e.ids).tobytes()
+        else:
+            for c, put in pending.items():
+                if not c.isascii() and any(unicodedata.category(x) == "Cn" for x in c):
+                    # letters younger than this Python's tables: only the library knows its own
+                    put[:] = array("I", self.library.encode(c, add_special_tokens=False).ids).tobytes()
+                    continue
+                cut = (c,) if c.isascii() and c.isalpha() else self.cut.findall(c)
+                parts[c] = cut = [
+                    w if w.isascii() and w.isprintable() else "".join([symbols[b] for b in w.encode()]) for w in cut
+                ]
+                words.update(cut)
+            ids = self.encode_words(words)
+            for c, cut in parts.items():
+                found = ids[cut[0]] if len(cut) == 1 else [i for w in cut for i in ids[w]]
+                pending[c][:] = array("I", found).tobytes()
+        if len(self.words) < MAX_WORDS:
+            self.words.update([(c, bytes(put)) for c, put in pending.items()])
 
     @property
     def library(self):
@@ -230,24 +247,19 @@ class WordBpe:
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        cut = [self.pieces(t) for t in texts]
         out: list[bytes] = []
-        done = 0
-        while done < len(cut):
-            chunks: set = set()
-            upto = done
-            while upto < len(cut) and (upto == done or len(chunks) < MAX_WORDS // 4):
-                chunks.update(cut[upto])
-                upto += 1
-            special = {c for c in chunks if isinstance(c, int)}
-            self.learn(chunks - special)
-            get = self.words.__getitem__
-            for p in cut[done:upto]:
-                if special:
-                    out.append(b"".join([c.to_bytes(4, "little") if isinstance(c, int) else get(c) for c in p]))
-                else:
-                    out.append(b"".join(map(get, p)))
-            done = upto
+        get = self.words.__getitem__
+        at = 0
+        while at < len(texts):
+            chars, coded = 0, []
+            while at < len(texts) and (chars == 0 or chars + len(texts[at]) <= STRIDE):
+                chars += len(texts[at])
+                coded.append(list(map(get, self.pieces(texts[at]))))
+                at += 1
+            if self.words.pending:
+                self.learn(self.words.pending)
+                self.words.pending = {}
+            out += map(b"".join, coded)
         return out
 
 
