@@ -26,6 +26,10 @@ from tidewatch.llm import common
 from tidewatch.llm.wordbpe import encoder
 
 
+#: Rows that are worked on at a time, of those that Spark sends together.
+ROWS = 1000
+
+
 def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
@@ -49,8 +53,10 @@ def encode(df: DataFrame, path: str, *, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            yield _put(batch, ids, ids_array(bpe.packed(texts)))
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                yield _put(part, ids, ids_array(bpe.packed(texts)))
 
     return df.mapInArrow(run, _with(df, ids, T.ArrayType(T.IntegerType())))
 
