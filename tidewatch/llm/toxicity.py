@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import common
 
-SAMPLE, TERMS, DEVIANCE = 30_000, 2_000, 25.0
+SAMPLE, TERMS, DEVIANCE = 30_000, 2_000, 21.0
 LEVELS = (3, 6)  # terms of a toxic document for grades 2 and 3
 GRADES = 2 + len(LEVELS)
-RIDGE = 0.05
+RIDGE = 0.005
+CUT = 0.4  # of the probability that the grade is above 0
 #: ASCII bytes other than letters and digits part words.
 _PART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -62,7 +63,7 @@ class Model:
             return 1 / (1 + np.exp(self.thresholds[None, :] - activity[:, None]))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, *, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, *, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of the penalised likelihood, by Adam on
     the whole sample. Thresholds are a first value and positive gaps."""
     n, d = x.shape
@@ -177,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """doc_id, severity (0 to GRADES-1), grade (the likeliest), toxic (1 if a
-    grade above 0 is likelier than not) of every row."""
+    grade above 0 has probability CUT or more) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +191,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
                     b.column(0),
                     pa.array(above.sum(axis=1)),
                     pa.array((whole[:, :-1] - whole[:, 1:]).argmax(axis=1).astype(np.int32)),
-                    pa.array((above[:, 0] >= 0.5).astype(np.int32)),
+                    pa.array((above[:, 0] >= CUT).astype(np.int32)),
                 ],
                 names=["doc_id", "severity", "grade", "toxic"],
             )
