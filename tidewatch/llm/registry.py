@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, packing, quality, simhash_dedup, toxicity
+from tidewatch.llm import bpe, chat, packing, quality, simhash_dedup, topk, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": bpe.op3_bpe,
+        "op4_topk": topk.op4_topk,
+        "op5_urlfilter": urlfilter.op5_urlfilter,
+        "op6_chat": chat.op6_chat,
         "op7_quality": quality.op7_quality,
         "op8_packing": packing.op8_packing,
         "op9_toxicity": toxicity.op9_toxicity,
@@ -20,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_topk": topk.OP4_SQL, "op5_urlfilter": urlfilter.OP5_SQL}
