@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, chat, fingerprints, packing, quality, simhash_dedup, topk, toxicity, urlfilter
+from tidewatch.llm import bpe, chat, ctw, fingerprints, packing, quality, simhash_dedup, topk, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ctw": ctw.op1_ctw,
         "op2_fingerprints": fingerprints.op2_fingerprints,
         "op3_bpe": bpe.op3_bpe,
         "op4_topk": topk.op4_topk,
