@@ -47,18 +47,21 @@ from pyspark.sql import functions as F
 from tidewatch.llm import common
 
 DEPTH, ROOTS = 6, 3  # bytes of context; depth of the subtrees that buckets hold
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 END = b"\xff"  # stands before and after a text; no UTF-8 text holds it
 STRIDE = 2 << 20  # positions that are worked on at a time
 U = np.uint64
 
 
 def _z(a: np.ndarray) -> bytes:
-    return zstandard.compress(a.tobytes(), 1)
+    """Compressed, all first bytes of the numbers first, then all second ones."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(a).reshape(-1).view(np.uint8).reshape(-1, a.itemsize).T)
+    return zstandard.compress(planes, 1)
 
 
 def _unz(b: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(b), kind)
+    planes = np.frombuffer(zstandard.decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
