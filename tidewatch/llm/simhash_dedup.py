@@ -100,7 +100,7 @@ def links(prints: DataFrame) -> DataFrame:
         third = F.when(F.col("i") == i, F.bit_count(_segment(differ, i + 2))).otherwise(third)
     spent = F.when(F.col("same"), 0).otherwise(1)
     return (
-        probe.join(index, ["i", "k"])
+        probe.join(index.hint("merge"), ["i", "k"])  # sizes before the unfolding say little
         .where(~F.col("same") | (F.col("a") < F.col("b")))
         .where(spent + third <= 2)
         .where(F.bit_count(differ) <= RADIUS)
