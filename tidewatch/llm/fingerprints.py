@@ -103,7 +103,7 @@ def near(queries: DataFrame, prints: DataFrame, *, radius: int = 3, blocks: int
         for i in c:
             same = same & (block(a, i) == block(b, i))
         first = F.when(same, F.lit(t)) if first is None else first.when(same, F.lit(t))
-    pairs = tables(queries, "query").join(tables(prints, "found"), ["t", "k"])
+    pairs = tables(queries, "query").join(tables(prints, "found").hint("merge"), ["t", "k"])
     return pairs.where(F.bit_count(a.bitwiseXOR(b)) <= radius).where(first == F.col("t")).select("query", "found")
 
 
