@@ -71,4 +71,7 @@ def join_limbs(sums: list, digits: int = 18) -> str:
 def significant(x: Column, digits: int = 5) -> Column:
     """x at so many significant digits; null stays null, infinities become null."""
     finite = x.isNotNull() & (F.abs(x) < F.lit(float("inf")))
-    return only_if(finite, F.format_string(f"%.{digits - 1}e", x).cast("double"))
+    power = F.floor(F.log10(F.abs(x))) - (digits - 1)
+    up, down = F.pow(F.lit(10.0), F.greatest(power, F.lit(0))), F.pow(F.lit(10.0), F.greatest(-power, F.lit(0)))
+    half_even = F.bround(x / up * down) * up / down
+    return only_if(finite, F.when(x == 0, F.lit(0.0)).otherwise(half_even))

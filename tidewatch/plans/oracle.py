@@ -142,12 +142,12 @@ PARTS: dict[str, str] = {
     "fixes": """SELECT coin_id, date, volume * 2 AS volume, 'reconciled' AS source, 2 AS rank, CAST(date + INTERVAL 7 DAY AS DATE) AS run
   FROM market WHERE dayofweek(date) = 1""",
     "sized": "SELECT coin_id, count(*) AS n FROM wide_flagged GROUP BY coin_id HAVING count(*) > 41",
-    "sites": """SELECT f.coin_id, f.date, p.type, p.sign FROM (SELECT coin_id, date, row_number() OVER (PARTITION BY coin_id ORDER BY date) - 1 AS at FROM wide_flagged) f
-  JOIN (SELECT coin_id, 40 + h_row % (n - 40) AS at, ['price_spike', 'volume_spike', 'combo'][1 + (row_number() OVER (ORDER BY h_turn, coin_id) - 1) % 3] AS type,
+    "sites": """SELECT f.coin_id, f.date, p.type, p.sign FROM (SELECT coin_id, date, row_number() OVER (PARTITION BY coin_id ORDER BY date) - 1 AS place FROM wide_flagged) f
+  JOIN (SELECT coin_id, 40 + h_row % (n - 40) AS place, ['price_spike', 'volume_spike', 'combo'][1 + (row_number() OVER (ORDER BY h_turn, coin_id) - 1) % 3] AS type,
     CASE WHEN h_sign % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign
     FROM (SELECT *, CAST('0x' || substr(md5('2026|row|' || coin_id), 1, 7) AS BIGINT) AS h_row,
       CAST('0x' || substr(md5('2026|turn|' || coin_id), 1, 7) AS BIGINT) AS h_turn,
-      CAST('0x' || substr(md5('2026|sign|' || coin_id), 1, 7) AS BIGINT) AS h_sign FROM sized)) p USING (coin_id, at)""",
+      CAST('0x' || substr(md5('2026|sign|' || coin_id), 1, 7) AS BIGINT) AS h_sign FROM sized)) p USING (coin_id, place)""",
     "scales": """SELECT *, coalesce(greatest(1.4826 * mad(log_return) OVER b, 0.005), 0.005) AS sr,
   coalesce(greatest(1.4826 * mad(ln(1 + volume)) OVER b, 0.1), 0.1) AS sv
   FROM wide_flagged WINDOW b AS (PARTITION BY coin_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
@@ -188,7 +188,7 @@ _GENERIC_COINS = "(SELECT DISTINCT coin_id FROM wide WHERE coin_id <> 'Brand#11'
 _LOF = """
 , p AS (SELECT DISTINCT {grid} FROM {rows}), i AS (SELECT *, CAST('0x' || substr(md5(concat_ws(',', {names})), 1, 15) AS BIGINT) AS id FROM p),
 d AS (SELECT a.id, b.id AS other, round(sqrt({gap}), 9) AS d FROM i a JOIN i b ON a.id <> b.id),
-n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d) AS place FROM d QUALIFY place <= {k}),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, other) AS place FROM d QUALIFY place <= {k}),
 k AS (SELECT id, max(d) AS kd FROM n GROUP BY id),
 l AS (SELECT n.id, 1 / (avg(greatest(d, kd)) + 1e-10) AS density FROM n JOIN k ON n.other = k.id GROUP BY n.id),
 f AS (SELECT n.id, avg(t.density) / any_value(o.density) AS lof FROM n JOIN l t ON n.other = t.id JOIN l o ON n.id = o.id GROUP BY n.id)
