@@ -95,35 +95,27 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[Group]
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[Group]:
-    """Best fit, longest first, on groups of equal sequences: each length goes
-    to the fullest sequences that still take it, a whole group at a time."""
+    """Best fit, longest first, on groups of equal sequences. The fullest that
+    still takes an item becomes fuller yet, so it takes all that fit before the
+    next one gets any; whole groups are filled that way at a time."""
     open_: dict[int, list[Group]] = defaultdict(list)
-    rooms: set[int] = set()
+
+    def fill(room: int, n: int, held: tuple[int, ...], length: int, todo: int) -> int:
+        per = room // length
+        full, part = (n, 0) if n * per <= todo else divmod(todo, per)
+        for times, k in ((full, per), (1 if part else 0, part), (n - full - bool(part), 0)):
+            if times:
+                open_[room - k * length].append((times, held + (length,) * k))
+        return todo - full * per - part
+
     for length in sorted(counts, reverse=True):
         todo = counts[length]
-        fitting = sorted(r for r in rooms if r >= length)
-        while todo and fitting:
-            room = fitting[0]
-            n, held = open_[room].pop()
-            if n > todo:
-                open_[room].append((n - todo, held))
-            now = min(n, todo)
-            todo -= now
-            rest = room - length
-            open_[rest].append((now, (*held, length)))
-            if not open_[room]:
-                rooms.discard(room)
-                fitting.pop(0)
-            rooms.add(rest)
-            if rest >= length and rest not in fitting:
-                fitting.append(rest)
-                fitting.sort()
+        for room in sorted(r for r in open_ if r >= length):
+            groups = open_.pop(room)
+            for n, held in groups:
+                todo = fill(room, n, held, length, todo)
         if todo:
-            per = capacity // length
-            for n, k in ((todo // per, per), (1 if todo % per else 0, todo % per)):
-                if n:
-                    open_[capacity - k * length].append((n, (length,) * k))
-                    rooms.add(capacity - k * length)
+            fill(capacity, -(-todo // (capacity // length)), (), length, todo)
     return [g for groups in open_.values() for g in groups]
 
 

@@ -268,7 +268,7 @@ _ODD = re.compile("[\x1c-\x1f]")
 
 
 def _split(text: str) -> list[str]:
-    return re.split(r"[^\S\x1c-\x1f]+", text.strip()) if _ODD.search(text) else text.split()
+    return re.findall(r"[\S\x1c-\x1f]+", text) if _ODD.search(text) else text.split()
 
 
 _held: dict[tuple[str, bool], WordBpe] = {}
