@@ -33,7 +33,7 @@ from tidewatch.llm import common
 SAMPLE, TERMS, DEVIANCE = 30_000, 2_000, 21.0
 LEVELS = (3, 6)  # terms of a toxic document for grades 2 and 3
 GRADES = 2 + len(LEVELS)
-RIDGE = 0.005
+RIDGE, STEPS = 0.03, 1500
 CUT = 0.4  # of the probability that the grade is above 0
 #: ASCII bytes other than letters and digits part words.
 _PART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -63,12 +63,24 @@ class Model:
             return 1 / (1 + np.exp(self.thresholds[None, :] - activity[:, None]))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, *, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Rows:
+    """Sparse feature rows: value at (row, term); grade and multiplicity by row."""
+
+    row: np.ndarray
+    term: np.ndarray
+    value: np.ndarray
+    grade: np.ndarray
+    times: np.ndarray
+
+
+def fit_ordinal(data: Rows, n_terms: int, grades: int, *, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of the penalised likelihood, by Adam on
     the whole sample. Thresholds are a first value and positive gaps."""
-    n, d = x.shape
+    d, grade, times = n_terms, data.grade, data.times.astype(np.float64)
+    n, rows = times.sum(), len(grade)
     free = np.zeros(d + grades - 1)
-    shares = [(grade > k).mean().clip(1e-3, 1 - 1e-3) for k in range(grades - 1)]
+    shares = [np.clip(times[grade > k].sum() / n, 1e-3, 1 - 1e-3) for k in range(grades - 1)]
     start = np.maximum.accumulate([np.log((1 - s) / s) for s in shares])
     free[d] = start[0]
     free[d + 1 :] = np.log(np.maximum(np.diff(start), 0.1))
@@ -80,20 +92,19 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, *, steps: int = 6
     for step in range(1, steps + 1):
         w, gaps = free[:d], np.exp(free[d + 1 :])
         cuts = np.concatenate([[-np.inf], np.cumsum([free[d], *gaps]), [np.inf]])
-        s = x @ w
+        s = np.bincount(data.row, data.value * w[data.term], rows)
         low, high = sigmoid(cuts[grade] - s), sigmoid(cuts[grade + 1] - s)
         low, high = np.where(grade == 0, 0.0, low), np.where(grade == grades - 1, 1.0, high)
         p = np.maximum(high - low, 1e-12)
-        at_low, at_high = low * (1 - low) / p, high * (1 - high) / p
+        at_low, at_high = times * low * (1 - low) / p, times * high * (1 - high) / p
         g = np.zeros_like(free)
-        g[:d] = x.T @ (at_high - at_low) / n + RIDGE * w / np.sqrt(n)
-        by_cut = np.zeros(grades - 1)
-        for k in range(grades - 1):
-            by_cut[k] = (np.sum(at_low[grade == k + 1]) - np.sum(at_high[grade == k])) / n
+        g[:d] = np.bincount(data.term, data.value * (at_high - at_low)[data.row], d) / n + RIDGE * w / n
+        by_cut = np.array([at_low[grade == k + 1].sum() - at_high[grade == k].sum() for k in range(grades - 1)]) / n
         g[d] = by_cut.sum()
         g[d + 1 :] = [by_cut[k + 1 :].sum() * gaps[k] for k in range(grades - 2)]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        free -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        rate = 0.1 * min(1.0, 2 * (steps - step + 1) / steps)
+        free -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
     return free[:d], np.cumsum([free[d], *np.exp(free[d + 1 :])])
 
 
@@ -162,16 +173,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
     # equal rows are counted, not repeated; there are at most `sample` of them
     got = rows.mapInArrow(features, "y int, held array<int>").groupBy("y", "held").count().collect()
     got.sort(key=lambda r: (r["y"], r["held"]))
-    x = np.zeros((len(got), len(picked)))
-    times = np.array([r["count"] for r in got])
-    for i, r in enumerate(got):
-        pairs = np.array(r["held"], np.int64).reshape(-1, 2)
-        x[i, pairs[:, 0]] = np.log1p(pairs[:, 1])
-    toxic = np.array([r["y"] for r in got])
-    hits = (x > 0).sum(axis=1)
-    grade = toxic * (1 + sum((hits >= level).astype(int) for level in LEVELS))
-    repeat = np.repeat(np.arange(len(got)), times)
-    model.weights, model.thresholds = fit_ordinal(x[repeat], grade[repeat], GRADES)
+    held = [np.array(r["held"], np.int64).reshape(-1, 2) for r in got]
+    sizes = np.array([len(h) for h in held])
+    flat = np.concatenate(held)
+    grade = np.array([r["y"] for r in got]) * (1 + sum((sizes >= level).astype(int) for level in LEVELS))
+    data = Rows(np.repeat(np.arange(len(got)), sizes), flat[:, 0], np.log1p(flat[:, 1]), grade, np.array([r["count"] for r in got]))
+    model.weights, model.thresholds = fit_ordinal(data, len(picked), GRADES)
     common.release(chosen, rows)
     return model
 
