@@ -33,6 +33,7 @@ from tidewatch.llm import common
 
 MOST_WEIGHT, CHUNK = 15, 4096  # CHUNK * MOST_WEIGHT fits a lane of 16 bits
 RANGE_BYTES, COARSE = 2 << 20, 64
+RADIUS, SEARCH_EVERY = 3, 20
 _LANES = 0x0001000100010001
 
 
@@ -78,7 +79,7 @@ def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def near(queries: DataFrame, prints: DataFrame, *, radius: int = 3, blocks: int = 6, column: str = "fingerprint") -> DataFrame:
+def near(queries: DataFrame, prints: DataFrame, *, radius: int = RADIUS, blocks: int = 6, column: str = "fingerprint") -> DataFrame:
     """(query, found) of all pairs of distinct values within the radius, a value
     itself among its own."""
     if not 0 <= radius < blocks <= 64:
@@ -174,12 +175,28 @@ def document_prints(docs: DataFrame) -> DataFrame:
     )
 
 
-def fingerprint_documents(docs: DataFrame) -> DataFrame:
+def near_counts(rows: DataFrame, queries: DataFrame, *, radius: int = RADIUS) -> DataFrame:
+    """(fingerprint, near_docs): for each fingerprint of the queries the other
+    rows within the radius. Equal fingerprints are counted before pairs are made."""
+    size = rows.groupBy(F.col("fingerprint").alias("found")).agg(F.count("*").alias("n"))
+    pairs = near(queries, size.select(F.col("found").alias("fingerprint")), radius=radius)
+    found = pairs.join(size, "found").groupBy("query").agg((F.sum("n") - 1).alias("near_docs"))
+    return found.withColumnRenamed("query", "fingerprint")
+
+
+def fingerprint_documents(docs: DataFrame, *, search_every: int = SEARCH_EVERY) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next, and near_docs: how many other documents lie within
+    RADIUS bits, for the query set, ids that search_every divides; else null."""
     rows = document_prints(docs)
+    asked = F.col("doc_id") % search_every == 0
+    counts = near_counts(rows, rows.where(asked).select("fingerprint"))
     inside = W.partitionBy("_range").orderBy("_row")
     lead = rows.withColumn("_lead", F.lead("fingerprint").over(inside))
     tops = rows.where("_row = 1").select("_range", F.col("fingerprint").alias("_top"))
     full = _after(lead, tops, "_lead", "_top", "_next")
+    full = full.withColumn("_asked", F.when(asked, F.col("fingerprint")))
+    full = full.join(counts.withColumnRenamed("fingerprint", "_asked"), "_asked", "left")
     fp = F.col("fingerprint")
     return full.select(
         "doc_id",
@@ -189,6 +206,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(fp, F.col("edited_fingerprint")).alias("near_edited"),
         likeness(fp, F.col("_next")).alias("near_next"),
+        "near_docs",
     )
 
 
