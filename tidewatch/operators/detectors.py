@@ -20,7 +20,7 @@ from tidewatch.operators.storage import settle
 EULER = 0.5772156649015329
 TREES, SAMPLE, SEED = 300, 4096, 7
 NEIGHBORS, DECIMALS = 20, 1
-BLOCK = 2048
+BLOCK, ROWS = 1024, 256  # points of a block; rows of a distance matrix
 DENSITY_GUARD = 1e-10
 
 
@@ -135,6 +135,34 @@ def _blocks(points: DataFrame, width: int, count: int) -> DataFrame:
     return dealt.mapInPandas(pack, "ids binary, data binary")
 
 
+class _Nearest:
+    """The k nearest of each row so far; equal distances go by id."""
+
+    def __init__(self, rows: int, k: int):
+        self.k, self.reach = k, np.full(rows, np.inf)
+        self.row, self.distance, self.other = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+
+    def add(self, at: int, d: np.ndarray, ids: np.ndarray) -> None:
+        cut = self.reach[at : at + len(d)]
+        if d.shape[1] > self.k:
+            cut = np.minimum(cut, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
+        row, column = np.nonzero((d <= cut[:, None]) & (d < np.inf))
+        self.row = np.concatenate([self.row, row + at])
+        self.distance = np.concatenate([self.distance, d[row, column]])
+        self.other = np.concatenate([self.other, ids[column]])
+        row, distance, self.other, place = self.ranked()
+        self.row, self.distance = row, distance
+        full = place == self.k
+        self.reach[row[full]] = distance[full]
+
+    def ranked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((self.other, self.distance, self.row))
+        row = self.row[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row) + 1
+        keep = place <= self.k
+        return row[keep], self.distance[order][keep], self.other[order][keep], place[keep].astype(np.int32)
+
+
 def nearest_neighbors(points: DataFrame, width: int, k: int) -> DataFrame:
     """(id, other, distance, place) of each point's k nearest others, exact. All
     blocks meet each block; a block farther off in its bounding box than the
@@ -151,27 +179,18 @@ def nearest_neighbors(points: DataFrame, width: int, k: int) -> DataFrame:
             return pd.DataFrame(columns=["id", "other", "distance", "place"])
         own = np.frombuffer(asked.ids[0], np.int64)
         x = np.frombuffer(asked.data[0]).reshape(-1, width)
-        best_d, best_i = np.full((len(x), k), np.inf), np.full((len(x), k), np.iinfo(np.int64).max)
         loaded = [(np.frombuffer(r.ids, np.int64), np.frombuffer(r.data).reshape(-1, width)) for r in others.itertuples()]
-        gap = lambda y: np.maximum(0, np.maximum(y.min(0) - x.max(0), x.min(0) - y.max(0)))
-        for ids, y in sorted(loaded, key=lambda p: float((gap(p[1]) ** 2).sum())):
-            if np.sqrt((gap(y) ** 2).sum()) > best_d[:, -1].max() + 1e-9:
-                continue
-            d = np.round(np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)), 9) if len(x) * len(y) <= 1 << 22 else None
-            if d is None:
-                d = np.empty((len(x), len(y)))
-                for at in range(0, len(x), 256):
-                    d[at : at + 256] = np.round(np.sqrt(((x[at : at + 256, None, :] - y[None, :, :]) ** 2).sum(axis=2)), 9)
-            d[own[:, None] == ids[None, :]] = np.inf
-            all_d = np.hstack([best_d, d])
-            all_i = np.hstack([best_i, np.broadcast_to(ids, d.shape)])
-            order = np.lexsort((all_i, all_d), axis=1)[:, :k]
-            best_d, best_i = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_i, order, 1)
-        place = np.broadcast_to(np.arange(1, k + 1), best_d.shape)
-        out = pd.DataFrame(
-            {"id": np.repeat(own, k), "other": best_i.ravel(), "distance": best_d.ravel(), "place": place.ravel()}
-        )
-        return out[np.isfinite(out.distance)]
+        gap = lambda y: float(np.sqrt((np.maximum(0, np.maximum(y.min(0) - x.max(0), x.min(0) - y.max(0))) ** 2).sum()))
+        near = _Nearest(len(x), k)
+        for ids, y in sorted(loaded, key=lambda p: gap(p[1])):
+            if gap(y) <= near.reach.max() + 1e-9:
+                for at in range(0, len(x), ROWS):
+                    part = slice(at, at + ROWS)
+                    d = np.sqrt(sum((x[part, j, None] - y[None, :, j]) ** 2 for j in range(width)))
+                    d[own[part, None] == ids[None, :]] = np.inf
+                    near.add(at, np.round(d, 9), ids)
+        row, distance, other, place = near.ranked()
+        return pd.DataFrame({"id": own[row], "other": other, "distance": distance, "place": place})
 
     asked = blocks.select(F.col("b").alias("q"), "ids", "data")
     return asked.groupBy("q").cogroup(meet.groupBy("q")).applyInPandas(search, "id long, other long, distance double, place int")
