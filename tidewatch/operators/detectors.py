@@ -118,21 +118,8 @@ def isolation_forest_score(
 # local outlier factor (Breunig et al. 2000)
 
 
-def _blocks(points: DataFrame, width: int, count: int) -> DataFrame:
-    """Distinct points with ids, packed into blocks of neighbours in space: a
-    range partition on the first feature, so far blocks can be left out."""
-    names = [f"x{i}" for i in range(width)]
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for at in range(0, len(b), BLOCK):
-                part = b.iloc[at : at + BLOCK]
-                data = np.ascontiguousarray(part[names].to_numpy(np.float64))
-                yield pd.DataFrame({"ids": [part["id"].to_numpy(np.int64).tobytes()], "data": [data.tobytes()]})
-
-    n = max(1, -(-count // BLOCK))
-    dealt = points.repartitionByRange(n, *names).sortWithinPartitions(*names)
-    return dealt.mapInPandas(pack, "ids binary, data binary")
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.round(np.sqrt(sum((x[:, j, None] - y[None, :, j]) ** 2 for j in range(x.shape[1]))), 9)
 
 
 class _Nearest:
@@ -163,37 +150,77 @@ class _Nearest:
         return row[keep], self.distance[order][keep], self.other[order][keep], place[keep].astype(np.int32)
 
 
+def _search(near: _Nearest, own: np.ndarray, x: np.ndarray, ids: np.ndarray, y: np.ndarray) -> None:
+    for at in range(0, len(x), ROWS):
+        d = _distances(x[at : at + ROWS], y)
+        d[own[at : at + ROWS, None] == ids[None, :]] = np.inf
+        near.add(at, d, ids)
+
+
+def _blocks(points: DataFrame, width: int, count: int, k: int) -> DataFrame:
+    """Distinct points with ids, packed into blocks of points close together (a
+    range partition), each with its bounding box and how far its points must
+    look at most: the k-th distance within the block, in all and for each."""
+    names = [f"x{i}" for i in range(width)]
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), BLOCK):
+                part = b.iloc[at : at + BLOCK]
+                ids = part["id"].to_numpy(np.int64)
+                x = np.ascontiguousarray(part[names].to_numpy(np.float64))
+                near = _Nearest(len(x), k)
+                _search(near, ids, x, ids, x)
+                yield pd.DataFrame(
+                    {
+                        "ids": [ids.tobytes()], "data": [x.tobytes()], "reach": [near.reach.tobytes()],
+                        "low": [x.min(0).tolist()], "high": [x.max(0).tolist()], "most": [float(near.reach.max())],
+                    }
+                )
+
+    n = max(1, -(-count // BLOCK))
+    dealt = points.repartitionByRange(n, *names).sortWithinPartitions(*names)
+    return dealt.mapInPandas(pack, "ids binary, data binary, reach binary, low array<double>, high array<double>, most double")
+
+
+def _meetings(blocks: DataFrame) -> list[tuple[int, int]]:
+    """Which blocks a block must look into: those whose bounding box lies within
+    its reach. Boxes alone come to the driver, one for BLOCK points."""
+    boxes = sorted(blocks.select("b", "low", "high", "most").collect())
+    name = [r["b"] for r in boxes]
+    low, high = np.array([r["low"] for r in boxes]), np.array([r["high"] for r in boxes])
+    out = []
+    for i, r in enumerate(boxes):
+        apart = np.maximum(0, np.maximum(low - high[i], low[i] - high))
+        out += [(name[i], name[j]) for j in np.flatnonzero(np.sqrt((apart**2).sum(axis=1)) <= r["most"] + 1e-8)]
+    return out
+
+
 def nearest_neighbors(points: DataFrame, width: int, k: int) -> DataFrame:
-    """(id, other, distance, place) of each point's k nearest others, exact. All
-    blocks meet each block; a block farther off in its bounding box than the
-    k-th neighbour so far is skipped. Ties go to the smaller id."""
-    count = points.count()
-    packed = settle(_blocks(points, width, count).withColumn("at", F.monotonically_increasing_id()), "points")
-    named = packed.select("at").withColumn("b", F.row_number().over(W.orderBy("at")))  # block names only
-    blocks = settle(packed.join(named, "at").drop("at"), "blocks")
-    n = max(1, blocks.count())
-    meet = blocks.select(F.explode(F.sequence(F.lit(1), F.lit(n))).alias("q"), "b", "ids", "data")
-
-    def search(asked: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if asked.empty:
-            return pd.DataFrame(columns=["id", "other", "distance", "place"])
-        own = np.frombuffer(asked.ids[0], np.int64)
-        x = np.frombuffer(asked.data[0]).reshape(-1, width)
-        loaded = [(np.frombuffer(r.ids, np.int64), np.frombuffer(r.data).reshape(-1, width)) for r in others.itertuples()]
-        gap = lambda y: float(np.sqrt((np.maximum(0, np.maximum(y.min(0) - x.max(0), x.min(0) - y.max(0))) ** 2).sum()))
-        near = _Nearest(len(x), k)
-        for ids, y in sorted(loaded, key=lambda p: gap(p[1])):
-            if gap(y) <= near.reach.max() + 1e-9:
-                for at in range(0, len(x), ROWS):
-                    part = slice(at, at + ROWS)
-                    d = np.sqrt(sum((x[part, j, None] - y[None, :, j]) ** 2 for j in range(width)))
-                    d[own[part, None] == ids[None, :]] = np.inf
-                    near.add(at, np.round(d, 9), ids)
-        row, distance, other, place = near.ranked()
-        return pd.DataFrame({"id": own[row], "other": other, "distance": distance, "place": place})
-
-    asked = blocks.select(F.col("b").alias("q"), "ids", "data")
-    return asked.groupBy("q").cogroup(meet.groupBy("q")).applyInPandas(search, "id long, other long, distance double, place int")
+    """(id, other, distance, place) of each point's k nearest others, exact. A
+    task compares two blocks at a time and gives what lies within the reach that
+    the point's own block already assures. Ties go to the smaller id."""
+    spark = points.sparkSession
+    packed = _blocks(points, width, points.count(), k)
+    blocks = settle(packed.withColumn("b", F.monotonically_increasing_id()), "blocks")
+    meetings = spark.createDataFrame(_meetings(blocks) or [(-1, -1)], "b long, c long")
+    asked = blocks.select("b", "ids", "data", "reach")
+    others = blocks.select(F.col("b").alias("c"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
+    pairs = meetings.join(asked, "b").join(others, "c")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for r in (r for b in batches for r in b.itertuples()):
+            own, ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.ids2, np.int64)
+            x, y = (np.frombuffer(v).reshape(-1, width) for v in (r.data, r.data2))
+            near = _Nearest(len(x), k)
+            near.reach = np.frombuffer(r.reach).copy()
+            _search(near, own, x, ids, y)
+            row, distance, other, _ = near.ranked()
+            yield pd.DataFrame({"id": own[row], "other": other, "distance": distance})
+
+    found = pairs.select("ids", "data", "reach", "ids2", "data2").mapInPandas(search, "id long, other long, distance double")
+    place = F.row_number().over(W.partitionBy("id").orderBy("distance", "other"))
+    return found.withColumn("place", place).where(F.col("place") <= k)
 
 
 def lof_score(
