@@ -3,7 +3,6 @@ estimates, stable bucketing and distributed connected components."""
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 
@@ -111,9 +110,3 @@ def connected_components(
     return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionAll(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
-
-
-def text_blocks(docs: DataFrame, text: str = "text", *, block_bytes: int = 8 << 20) -> int:
-    """Number of blocks of about block_bytes of text: one scan of one column."""
-    total = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    return max(1, math.ceil(total / block_bytes))

@@ -43,7 +43,6 @@ RULES = (
     Rule("block", "example.com", "/de/"),
     Rule("allow", "org", "/fr/"),
 )
-_AFTER = r"(?s)^.*?://"
 
 
 def _rest(url: Column) -> Column:
