@@ -202,3 +202,14 @@ def test_streaming_upserts_keep_the_last_arrival(spark, tmp_path):
         upserts.upsert_days(stream, out, str(tmp_path / "check")).awaitTermination()
     held = {r["tx_hash"]: r["amount"] for r in spark.read.parquet(out).collect()}
     assert held == {"h": 2.0, "own0": 7.0, "own1": 7.0}
+
+
+def test_csv_and_document_round_trip(spark, tmp_path):
+    from tidewatch.sources import files
+
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "name string, v double")
+    files.write_csv(df, str(tmp_path / "csv"))
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "csv"), "name string, v double").collect())) == [("a", 1.5), ("b", None)]
+    sections = spark.createDataFrame([("x", "[1, 2]")], "section string, body string")
+    assert files.write_document(sections, str(tmp_path / "o" / "d.json"))["sections"] == 1
+    assert json.loads((tmp_path / "o" / "d.json").read_text()) == {"x": [1, 2]}

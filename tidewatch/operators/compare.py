@@ -91,3 +91,14 @@ def strongest_feature(rows: DataFrame, features: Sequence[str]) -> Column:
     """The feature of largest magnitude, the first of equals; nulls count as 0."""
     cells = [F.struct(F.coalesce(F.abs(c), F.lit(0.0)).alias("v"), F.lit(-i).alias("i"), F.lit(c).alias("name")) for i, c in enumerate(features)]
     return F.array_max(F.array(*cells))["name"]
+
+
+def kept_moves(scored: DataFrame, methods: Sequence[str] = METHODS) -> DataFrame:
+    """Of the single extreme moves that cleaning kept, how many each method flags."""
+    kept = scored.where("extreme_move")
+    return kept.agg(F.count("*").alias("kept"), *[F.count_if(f"{m}_flag").alias(m) for m in methods])
+
+
+def consensus(scored: DataFrame) -> DataFrame:
+    """Rows by number of votes."""
+    return scored.groupBy("votes").agg(F.count("*").alias("rows"))

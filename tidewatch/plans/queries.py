@@ -280,6 +280,21 @@ def dashboard(s, d):
     return reports.dashboard(raw, flagged, verdict, quality.clean(flagged, verdict), _scored(s, d), views.transfers(s, d))
 
 
+@query
+def kept_moves(s, d):
+    return compare.kept_moves(_zscored(s, d), ["zscore"])
+
+
+@query
+def vote_consensus(s, d):
+    return compare.consensus(_scored(s, d))
+
+
+@query
+def market_wide_days(s, d):
+    return rounded(evaluation.market_wide(_zscored(s, d), ["1996-06-01", "1999-03-15"], methods=["zscore"]))
+
+
 # transfers
 
 
@@ -428,9 +443,25 @@ def exact_sums(s, d):
     return sums.select("l_returnflag", whole.cast("decimal(38,0)").cast("string").alias("total"))
 
 
+@query
+def history_end(s, d):
+    return load.history_end(views.market_daily(s, d).withColumn("source", F.when(F.col("coin_id") == "N", "snapshot").otherwise("history")))
+
+
+@query
+def load_checks(s, d):
+    raw = views.market_daily(s, d)
+    return contracts.load_check(raw, raw.repartition(5, "date"), ["coin_id", "date"], raw.columns, "market").select("check", "passed")
+
+
 # sources
 
 
+@query
+def transfer_coverage(s, d):
+    return transfers_json.coverage(views.transfers(s, d), "2024-01-31 04:00:00").select("token", "late")
+
+
 @query
 def parse_market_chart(s, d):
     raw = views.market_daily(s, d)
