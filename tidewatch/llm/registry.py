@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_topk": topk.OP4_SQL, "op5_urlfilter": urlfilter.OP5_SQL}
+    return {"op4_topk": topk.OP4_SQL, "op5_urlfilter": urlfilter.OP5_SQL, "op6_chat": chat.OP6_SQL}
