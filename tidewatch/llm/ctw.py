@@ -49,6 +49,7 @@ from tidewatch.llm import common
 DEPTH, ROOTS = 6, 3  # bytes of context; depth of the subtrees that buckets hold
 BLOCK_BYTES = 32 << 20
 END = b"\xff"  # stands before and after a text; no UTF-8 text holds it
+SPREAD = 3  # partitions for each block or bucket, so that few share one by chance
 STRIDE = 2 << 20  # positions that are worked on at a time
 U = np.uint64
 
@@ -350,7 +351,7 @@ def count_blocks(blocks: DataFrame, *, depth: int, roots: int, buckets: int) ->
 def weigh(parts: DataFrame, *, depth: int, roots: int, buckets: int) -> DataFrame:
     """One row for each bucket and kind with the summed counts (kinds WORDS and
     STRINGS) and one with its subtrees' roots (kind STRINGS + 1)."""
-    dealt = parts.select("bucket", "kind", "keys", "numbers").repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    dealt = parts.select("bucket", "kind", "keys", "numbers").repartition(SPREAD * buckets, "bucket").sortWithinPartitions("bucket", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(_rows(batches, ["bucket", "kind", "keys", "numbers"])):
@@ -411,7 +412,7 @@ def answer(parts: DataFrame, model: DataFrame, top: DataFrame, *, depth: int, ro
         .select(F.lit(0).alias("turn"), *kinds)
         .unionByName(parts.select(F.lit(1).alias("turn"), *kinds))
     )
-    dealt = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "turn", "kind", "block")
+    dealt = both.repartition(SPREAD * buckets, "bucket").sortWithinPartitions("bucket", "turn", "kind", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(_rows(batches, ["bucket", "turn", "kind", "block", "keys", "numbers"])):
@@ -467,7 +468,7 @@ def score_blocks(blocks: DataFrame, answers: DataFrame, *, depth: int, tokens: i
     ).unionByName(
         blocks.select("block", F.lit(9).alias("kind"), "doc_id", "held_out", F.col("text").alias("keys"), nothing.cast("binary").alias("numbers"))
     )
-    dealt = both.repartition(n, "block").sortWithinPartitions("block", "kind")
+    dealt = both.repartition(SPREAD * n, "block").sortWithinPartitions("block", "kind")
     scale = math.log10(tokens + 0.5 * (distinct + 1))
     unknown, end = math.log10(0.5) - scale, math.log10(texts + 0.5) - scale
 
