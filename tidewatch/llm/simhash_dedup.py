@@ -38,19 +38,25 @@ SEED, SHINGLE, RADIUS, SEGMENTS = 42, 3, 3, 4
 WIDTH = 64 // SEGMENTS
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The fingerprint as a signed 64-bit integer."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The hash of every shingle in order; none of a text without words."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.array([], np.uint64)
     digest, n = xxhash.xxh64_intdigest, len(words)
     whole = b" ".join(words)
     if n <= shingle:
-        hashes = np.array([digest(whole, SEED)], np.uint64)
-    else:
-        ends = list(accumulate(map(len, words), lambda at, x: at + x + 1))
-        starts = [0, *(e + 1 for e in ends)]
-        hashes = np.array([digest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :])], np.uint64)
+        return np.array([digest(whole, SEED)], np.uint64)
+    ends = list(accumulate(map(len, words), lambda at, x: at + x + 1))
+    starts = [0, *(e + 1 for e in ends)]
+    return np.array([digest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :])], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The fingerprint as a signed 64-bit integer."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     votes = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
