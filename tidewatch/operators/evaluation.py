@@ -133,6 +133,16 @@ def injection_sweep(rows: DataFrame, score, *, strengths: Sequence[float] = STRE
     return out
 
 
+def precision_sweep(rows: DataFrame, score, *, strengths: Sequence[float] = STRENGTHS, seed: int = SEED, methods: Sequence[str] = METHODS) -> DataFrame:
+    """precision_at_k at every strength. score: as for injection_sweep."""
+    sites = choose_sites(rows, seed=seed)
+    out = None
+    for s in strengths:
+        found = precision_at_k(score(inject(rows, sites, s)), sites, methods=methods).withColumn("strength", F.lit(float(s)))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def events_frame(spark: SparkSession, events: Sequence[tuple[str, str, str]]) -> DataFrame:
     return spark.createDataFrame(list(events), "event string, coin_id string, event_date string").withColumn(
         "event_date", F.to_date("event_date")

@@ -604,16 +604,13 @@ def event_hits(s, d):
 @query
 def injection_recall(s, d):
     rows = market.market_features(_flagged(s, d))
-    score = lambda r: scoring.score_market(r, trees=50)
-    return evaluation.injection_sweep(rows, score, strengths=(6.0, 24.0))
+    return evaluation.injection_sweep(rows, scoring.score_market)
 
 
 @query
 def precision_at_sites(s, d):
     rows = market.market_features(_flagged(s, d))
-    sites = evaluation.choose_sites(rows)
-    scored = scoring.score_market(evaluation.inject(rows, sites, 24.0), trees=50)
-    return evaluation.precision_at_k(scored, sites)
+    return evaluation.precision_sweep(rows, scoring.score_market)
 
 
 @query
