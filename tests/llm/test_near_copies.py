@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tidewatch.llm import jaccard
+from tidewatch.llm import jaccard, simhash_dedup
 
 from test_prints import find
 
@@ -75,3 +75,20 @@ def test_stage_of_nothing_and_of_clashing_columns(spark, documents, no_documents
     assert kept.columns == documents.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) and 10_009 in ids and 10_010 not in ids
+
+
+def body(k):
+    return " ".join(f"t{k}x{i}" for i in range(30))
+
+
+#: Null ids alone, null ids beside a smaller one, two texts of one id, a twin in another group.
+ROWS = [
+    (None, body(0)), (None, body(1)), (None, body(1)), (None, body(2)), (9, body(2)), (5, body(3)), (5, body(4)), (3, body(4)), (7, body(5)), (7, body(5)), (None, None), (None, ""),
+]
+
+
+@pytest.mark.parametrize("keep", [simhash_dedup.keep_one, jaccard.keep_one])
+def test_each_component_keeps_one_row(spark, keep):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(4)
+    got = Counter((r["doc_id"], r["text"] or "") for r in keep(df).collect())
+    assert got == Counter([(None, body(0)), (None, body(1)), (9, body(2)), (5, body(3)), (3, body(4)), (7, body(5)), (None, "")])

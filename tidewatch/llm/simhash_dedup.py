@@ -68,14 +68,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, *, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """doc_id and the fingerprint as long; reads only these two columns."""
 
+    return _printed(docs.select("doc_id", text), out)
+
+
+def _printed(rows: DataFrame, out: str) -> DataFrame:
+    """The first column of rows, and the fingerprint of the text in its second."""
+    key = rows.columns[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1)
             values = pa.array([fingerprint(texts[i].as_py()) for i in range(len(texts))], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), values], names=["doc_id", out])
+            yield pa.RecordBatch.from_arrays([b.column(0), values], names=[key, out])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, {out} long")
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.mapInArrow(run, f"{key} {kind}, {out} long")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -114,16 +121,18 @@ def links(prints: DataFrame) -> DataFrame:
     )
 
 
+def _groups(classes: DataFrame) -> DataFrame:
+    """classes (column `f`, distinct fingerprints) with their components `g`."""
+    edges = common.settle(links(classes.select("f")).distinct(), "links")
+    groups = common.connected_components(edges, src="a", dst="b")
+    return classes.join(groups, F.col("f") == F.col("node"), "left").select(*classes.columns, F.coalesce("component", "f").alias("g"))
+
+
 def components(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (long), component_id of every row of docs."""
     prints = common.settle(fingerprints(docs), "simhash")
     classes = common.settle(prints.groupBy(F.col("fingerprint").alias("f")).agg(F.min("doc_id").alias("least")), "classes")
-    found = links(classes.select("f"))
-    edges = common.settle(found.distinct(), "links")
-    groups = common.connected_components(edges, src="a", dst="b")
-    named = classes.join(groups, F.col("f") == F.col("node"), "left").select(
-        "f", "least", F.coalesce("component", "f").alias("g")
-    )
+    named = _groups(classes)
     least = named.groupBy("g").agg(F.min("least").alias("component_id"))
     member = named.join(least, "g").select("f", "component_id")
     return prints.join(member, F.col("fingerprint") == F.col("f")).select("doc_id", "fingerprint", "component_id")
@@ -135,13 +144,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def survivors(grouped: DataFrame) -> DataFrame:
+    """Of the rows `doc` of each component `g` the one of the smallest doc_id,
+    nulls last, then of the smallest text; the columns of doc."""
+    first = F.struct(F.col("doc.doc_id").isNull(), F.col("doc.doc_id"), F.col("doc.text"))
+    return grouped.groupBy("g").agg(F.min_by("doc", first).alias("doc")).select("doc.*")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents less all but one of each near-duplicate group: the one of
-    the smallest doc_id; of repeated rows of it, one. Columns as given."""
-    member = components(docs).select("doc_id", "component_id")
-    first = member.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each near-duplicate group, chosen among rows: that of the
+    smallest doc_id, nulls last, then of the smallest text. A group of null ids
+    keeps one too, and texts that share an id are judged each. Columns as given."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+    prints = common.settle(_printed(whole, "fingerprint"), "simhash-rows")
+    groups = _groups(prints.select(F.col("fingerprint").alias("f")).distinct()).select("f", "g")
+    return survivors(prints.join(groups, F.col("fingerprint") == F.col("f")).select("doc", "g"))
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
