@@ -3,7 +3,8 @@
 Each url is judged by the longest rule that fits: a rule fits its host and all
 subdomains if the url's path starts with the rule's path. Urls that no rule fits
 are judged by their aliases. Pages name aliases in canonical links and in
-refresh redirects; further redirects may be given as a table. The connected
+refresh redirects, every such tag counts and relative targets are resolved
+against the page (RFC 3986); further redirects may be given as a table. The connected
 components of these edges are the aliases: an explicit allow of one member
 allows the others, else an explicit block of one blocks them, else they are
 allowed. A url with a rule of its own keeps that rule's verdict.
@@ -69,32 +70,65 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def node(url: Column) -> Column:
-    """The url less its fragment, with scheme and host lower-cased."""
+    """The url less its fragment and dot segments, with scheme and host lower-cased."""
     bare = F.regexp_extract(url, r"(?s)^([^#]*)", 1)
     at = F.locate("://", bare)
     head = F.length(host_of(bare)) + at + 2
-    return F.when(at > 0, F.concat(common.ascii_lower(F.substr(bare, F.lit(1), head)), F.substr(bare, head + 1)))
+    path = path_of(bare)
+    rest = F.concat(undotted(path), F.substr(bare, head + F.length(path) + 1))
+    return F.when(at > 0, F.concat(common.ascii_lower(F.substr(bare, F.lit(1), head)), rest))
 
 
 def aliases(pages: DataFrame) -> DataFrame:
     """(src, dst) nodes of canonical links and refresh redirects in the html."""
     low = F.lower("html")
     named = pages.where(F.col("url").contains("://") & (low.contains("canonical") | low.contains("refresh")))
-    link = F.expr(r"""regexp_extract(html, '(?is)<link\\b([^>]*\\brel\\s*=\\s*["\']?canonical\\b[^>]*)>', 1)""")
-    meta = F.expr(r"""regexp_extract(html, '(?is)<meta\\b([^>]*\\bhttp-equiv\\s*=\\s*["\']?refresh\\b[^>]*)>', 1)""")
+    link = F.expr(r"""regexp_extract_all(html, '(?is)<link\\b([^>]*\\brel\\s*=\\s*["\']?canonical\\b[^>]*)>', 1)""")
+    meta = F.expr(r"""regexp_extract_all(html, '(?is)<meta\\b([^>]*\\bhttp-equiv\\s*=\\s*["\']?refresh\\b[^>]*)>', 1)""")
     href = lambda tag: F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
     goal = lambda tag: F.regexp_extract(tag, r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    found = named.select("url", F.explode(F.array(href(link), goal(meta))).alias("to")).where("to <> ''")
+    tags = F.concat(F.transform(link, href), F.transform(meta, goal))
+    found = named.select("url", F.explode(tags).alias("to")).where("to <> ''")
     to = F.replace(F.col("to"), F.lit("&amp;"), F.lit("&"))
-    scheme = F.regexp_extract("url", r"(?s)^(.*?)://", 1)
-    whole = (
-        F.when(to.contains("://"), to)
-        .when(to.startswith("//"), F.concat(scheme, F.lit(":"), to))
-        .when(to.startswith("/"), F.concat(scheme, F.lit("://"), host_of(F.col("url")), to))
-    )
+    whole = resolve(F.col("url"), to)
     return found.select(node(F.col("url")).alias("src"), node(whole).alias("dst")).where("dst IS NOT NULL AND src <> dst")
 
 
+def undotted(path: Column) -> Column:
+    """The path without dot segments (RFC 3986, 5.2.4)."""
+    parts = F.split(path, "/")
+    step = lambda done, x: (
+        F.when(x == ".", done).when(x == "..", F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)).otherwise(F.concat(done, F.array(x)))
+    )
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.contains("/."), F.concat(F.array_join(kept, "/"), end)).otherwise(path)
+
+
+def resolve(url: Column, to: Column) -> Column:
+    """The reference `to` on a page of this url (RFC 3986, 5.2); null for other
+    schemes, as mailto: or javascript:."""
+    scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
+    root = F.concat(scheme, F.lit("://"), host_of(url))
+    path = F.when(path_of(url) == "", "/").otherwise(path_of(url))
+    query = F.regexp_extract(url, r"(?s)^[^#?]*(\?[^#]*)", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    own = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
+    rest = F.substr(to, F.length(own) + 1)
+    full = to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://")
+    there = F.when(full, to).when(to.startswith("//"), F.concat(scheme, F.lit(":"), to))
+    head = F.regexp_extract(there, r"(?s)^([^:]*://[^/?#]*)", 1)
+    tail = F.substr(there, F.length(head) + F.length(path_of(there)) + 1)
+    return (
+        F.when(there.isNotNull(), F.concat(head, undotted(path_of(there)), tail))
+        .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(to.startswith("/"), F.concat(root, undotted(own), rest))
+        .when(to.startswith("?"), F.concat(root, path, to))
+        .when(to.startswith("#"), F.concat(root, path, query, to))
+        .otherwise(F.concat(root, undotted(F.concat(folder, own)), rest))
+    )
+
+
 def judge(
     pages: DataFrame, rules: Sequence[Rule] = RULES, *, redirects: DataFrame | None = None, default: str = "allow"
 ) -> DataFrame:
