@@ -8,15 +8,21 @@ are ordered by the most they can add in the shard. Those of least weight whose
 sum stays below the k-th score so far are non-essential: a row that only they
 touch cannot enter. Essential postings are added up; the rest is probed, the
 heaviest first, for rows that can still compete. Each group gives k rows for a
-query, and the groups' rows are merged.
-
-Terms of a vector are its components, as floor(256 x) of the double x (values
-beyond 2^24 count as 2^24). Vectors that are null or hold a null or non-finite
-component take no part, neither as query nor as candidate. A row is a candidate
-of every query but the one with its own id; candidates without common terms
-score 0. Vectors of different lengths are compared on their common components.
-Ties go to the smaller id. Repeated rows of one id and vector count once; an id
-with several vectors has a candidate for each. Null ids take no part. Only the
+query, and the groups' rows are merged. Work is queries times rows by contract;
+a shard is sent once for BLOCK queries, so a byte that is sent is met by some
+thousand multiplications.
+
+Terms of a vector are its components, as floor(256 x) of the double x, however
+large: where a sum might leave 64 bits, the shard is searched with integers of
+any size. Ranks follow the exact sums; a score beyond the range of a long is
+given as the range's end. Vectors that are null or hold a null or non-finite
+component take no part, neither as query nor as candidate. Vectors of different
+lengths are compared on their common components. Ties go to the smaller id.
+
+Every row is a candidate, so a row that repeats is listed as often as it is
+there. Rows of the query's own id are none of its candidates. A query id that
+repeats is one query: of its vectors the least, compared by components, is
+asked. Candidates without common terms score 0. Null ids take no part. Only the
 two columns named are read.
 """
 
@@ -28,20 +34,24 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm import common
 
 SHARD, BLOCK, GROUP = 8192, 1024, 16
-SCALE, MOST = 256.0, 1 << 24
+SCALE = 256.0
+#: Sums below this, as doubles tell, are sure to fit 64 bits.
+SAFE = 2.0**61
+LONG = 1 << 63
 
 
 @dataclass
 class Shard:
     """Rows of ascending id; row i of columns is term i's postings, dense as
-    the terms of vectors are. Zeros are no posting."""
+    the terms of vectors are. Zeros are no posting. columns holds int64, or
+    Python's integers where one component is too large for them."""
 
     ids: np.ndarray
     columns: np.ndarray
@@ -50,12 +60,23 @@ class Shard:
         some = self.columns.shape[1] > 0
         self.most = np.maximum(self.columns.max(axis=1), 0) if some else np.zeros(len(self.columns), np.int64)
         self.least = np.minimum(self.columns.min(axis=1), 0) if some else np.zeros(len(self.columns), np.int64)
+        if not self.large:
+            self.size = np.maximum(self.most.astype(np.float64), -self.least.astype(np.float64))
+
+    @property
+    def large(self) -> bool:
+        return self.columns.dtype == object
+
+    def exact(self) -> Shard:
+        return Shard(self.ids, self.columns.astype(object))
 
     def search(self, query: np.ndarray, own: int, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """best: (-score, id) of the k best so far, ascending; the same, with
         this shard's rows."""
-        q = np.zeros(len(self.columns), np.int64)
-        m = min(len(q), len(query))
+        m = min(len(self.columns), len(query))
+        if not self.large and (query.dtype == object or np.abs(query[:m].astype(np.float64)) @ self.size[:m] >= SAFE):
+            return self.exact().search(query.astype(object), own, k, best)
+        q = np.zeros(len(self.columns), self.columns.dtype)
         q[:m] = query[:m]
         bound = np.maximum(q * self.most, q * self.least)
         order = np.argsort(bound, kind="stable")
@@ -66,9 +87,9 @@ class Shard:
         else:
             done = 0
         floor = -best[-1][0] if len(best) == k else None
-        acc = np.zeros(len(self.ids) - done, np.int64)
+        acc = np.zeros(len(self.ids) - done, self.columns.dtype)
         sums = np.cumsum(bound[order])
-        split = 0 if floor is None else int(np.searchsorted(sums, floor, "left"))
+        split = 0 if floor is None else sum(1 for s in sums.tolist() if s < floor)  # sums rise
         for d in order[split:]:  # essential postings
             if q[d]:
                 acc += q[d] * self.columns[d, done:]
@@ -81,7 +102,7 @@ class Shard:
             rest -= int(bound[d])
             if q[d]:
                 score = score + q[d] * self.columns[d, done + alive]
-            keep = score + rest >= floor
+            keep = (score + rest >= floor).astype(bool)
             alive, score = alive[keep], score[keep]
         return self._merge(best, done + alive, score, own, k)
 
@@ -90,63 +111,84 @@ class Shard:
         other = ids != own
         ids, score = ids[other], score[other]
         if len(ids) > k:
-            cut = np.partition(score, len(score) - k)[len(score) - k]
-            ids, score = ids[score >= cut], score[score >= cut]
-        order = np.lexsort((ids, -score))[:k]
-        return sorted([*best, *zip((-score[order]).tolist(), ids[order].tolist(), strict=True)])[:k]
+            cut = np.sort(score)[len(score) - k]
+            keep = (score >= cut).astype(bool)
+            ids, score = ids[keep], score[keep]
+        found = sorted(zip((-score).tolist(), ids.tolist(), strict=True))[:k]
+        return sorted([*best, *found])[:k]
+
+
+def usable(vector: Column) -> Column:
+    """Whether every component is a finite number."""
+    finite = lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False))
+    return F.coalesce(F.forall(vector, finite), F.lit(False))
 
 
-def vector_terms(values: list | None) -> np.ndarray | None:
-    if values is None or any(v is None for v in values):
-        return None
-    x = np.array(values, np.float64)
-    if not np.isfinite(x).all():
-        return None
-    return np.clip(np.floor(SCALE * x), -MOST, MOST).astype(np.int64)
+def _integers(y: np.ndarray) -> np.ndarray:
+    """256 y, y being multiples of 1/256, in integers of any size."""
+    out = np.zeros(y.shape, object)
+    for at in np.ndindex(y.shape):
+        top, bottom = float(y[at]).as_integer_ratio()
+        out[at] = top * 256 // bottom
+    return out
 
 
 def _pack(df: DataFrame, key: str, vector: str, most: int) -> DataFrame:
-    """n, part, seq, ids, width, data: blocks of at most `most` rows."""
+    """n, wide, ids, data: blocks of at most `most` rows, ordered by id. data is
+    the transposed matrix of terms, in int32 or, where one needs more (wide), as
+    doubles of a 256th."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[int] = []
-        rows: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, lengths, components
 
         def block() -> pa.RecordBatch:
-            order = np.argsort(np.array(ids, np.int64), kind="stable")
-            width = max(map(len, rows))
-            data = np.zeros((width, len(ids)), np.int32)
-            for j, i in enumerate(order):
-                data[: len(rows[i]), j] = rows[i]
-            out = pa.RecordBatch.from_pydict(
+            ids, lengths, flat = (np.concatenate(x) for x in zip(*held, strict=True))
+            data = np.zeros((len(ids), max(int(lengths.max()), 0)))
+            data[np.arange(data.shape[1])[None, :] < lengths[:, None]] = flat
+            wide = bool(data.size) and float(np.abs(data).max()) >= (1 << 31) / SCALE
+            order = np.argsort(ids, kind="stable")
+            data = np.ascontiguousarray(data[order].T)
+            held.clear()
+            return pa.RecordBatch.from_pydict(
                 {
                     "n": pa.array([len(ids)], pa.int32()),
-                    "ids": pa.array([np.array(ids, np.int64)[order].tobytes()], pa.binary()),
-                    "data": pa.array([data.tobytes()], pa.binary()),
+                    "wide": pa.array([wide]),
+                    "ids": pa.array([ids[order].tobytes()], pa.binary()),
+                    "data": pa.array([(data if wide else (data * SCALE).astype(np.int32)).tobytes()], pa.binary()),
                 }
             )
-            ids.clear()
-            rows.clear()
-            return out
 
+        size = 0
         for b in batches:
-            column = b.column(vector)
-            for i, key_ in enumerate(b.column(key).to_pylist()):
-                terms = None if key_ is None else vector_terms(column[i].as_py())
-                if terms is not None:
-                    ids.append(key_)
-                    rows.append(terms)
-                    if len(ids) == most:
-                        yield block()
-        if ids:
+            column = b.column(1)
+            ids, ends = b.column(0).to_numpy(), column.offsets.to_numpy()
+            values = column.values.to_numpy(zero_copy_only=False)
+            with np.errstate(over="ignore"):  # beyond 2^1000 every double is whole
+                values = np.where(np.abs(values) < 2.0**1000, np.floor(SCALE * values) / SCALE, values)
+            at = 0
+            while at < len(ids):
+                upto = min(len(ids), at + most - size)
+                held.append((ids[at:upto], np.diff(ends[at : upto + 1]), values[ends[at] : ends[upto]]))
+                size += upto - at
+                at = upto
+                if size == most:
+                    yield block()
+                    size = 0
+        if size:
             yield block()
 
-    return df.select(key, vector).mapInArrow(run, "n int, ids binary, data binary")
+    taken = df.where(F.col(key).isNotNull() & usable(F.col(vector)))
+    plain = taken.select(F.col(key).cast("long"), F.transform(vector, lambda x: x.cast("double")).alias(vector))
+    return plain.mapInArrow(run, "n int, wide boolean, ids binary, data binary")
 
 
 def _unpack(row) -> Shard:
     ids = np.frombuffer(row.ids, np.int64)
-    return Shard(ids, np.frombuffer(row.data, np.int32).astype(np.int64).reshape(-1, len(ids)))
+    if not row.wide:
+        return Shard(ids, np.frombuffer(row.data, np.int32).astype(np.int64).reshape(-1, len(ids)))
+    data = np.frombuffer(row.data, np.float64).reshape(-1, len(ids))
+    small = not data.size or np.abs(data).max() < 2.0**53
+    return Shard(ids, (data * SCALE).astype(np.int64) if small else _integers(data))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: str = "embedding", k: int = 5) -> DataFrame:
@@ -154,24 +196,23 @@ def top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: s
     spark = rows.sparkSession
     number = F.monotonically_increasing_id()  # only names settled blocks
     shards = common.settle(_pack(rows, key, vector, SHARD).withColumn("at", number), "shards")
-    dealt = queries.repartition(max(1, -(-queries.count() // BLOCK)), key)
+    asked_for = queries.where(F.col(key).isNotNull() & usable(F.col(vector))).groupBy(key).agg(F.min(vector).alias(vector))
+    asked_for = common.settle(asked_for, "queries")
+    dealt = asked_for.repartition(max(1, -(-asked_for.count() // BLOCK)), key)
     blocks = common.settle(_pack(dealt, key, vector, BLOCK).withColumn("at", number), "query-blocks")
 
     # names of blocks: a few rows for millions of vectors
-    groups = max(1, -(-shards.count() // GROUP))
+    n_blocks, n_shards = blocks.count(), shards.count()
+    groups = max(1, -(-n_shards // GROUP), min(n_shards, common.shuffle_partitions(spark) // max(1, n_blocks)))
     names = W.orderBy("at")
     shard_no = shards.select("at", (F.row_number().over(names) % groups).cast("int").alias("g"))
     block_no = blocks.select("at", F.row_number().over(names).cast("int").alias("qb"))
-    n_blocks = blocks.count()
-    left = shards.join(shard_no, "at").select(
-        "g", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_blocks)))).alias("qb"), "ids", "data"
-    )
-    right = blocks.join(block_no, "at").select(
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "qb", "ids", "data"
-    )
+    columns = ["n", "wide", "ids", "data"]
+    left = shards.join(shard_no, "at").select("g", F.explode(F.sequence(F.lit(1), F.lit(max(1, n_blocks)))).alias("qb"), *columns)
+    right = blocks.join(block_no, "at").select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), "qb", *columns)
 
     def search(shard_rows: pd.DataFrame, block_rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, int, str, int]] = []
         asked = [(b, i) for b in map(_unpack, block_rows.itertuples()) for i in range(len(b.ids))]
         best: list[list[tuple[int, int]]] = [[] for _ in asked]
         for row in shard_rows.itertuples():
@@ -179,20 +220,31 @@ def top_k(rows: DataFrame, queries: DataFrame, *, key: str = "vec_id", vector: s
             for j, (b, i) in enumerate(asked):
                 best[j] = shard.search(b.columns[:, i], int(b.ids[i]), k, best[j])
         for (b, i), found in zip(asked, best, strict=True):
-            out += [(int(b.ids[i]), x, -s, j) for j, (s, x) in enumerate(found)]
-        return pd.DataFrame(out, columns=["query_id", key, "score", "_at"])
+            out += [(int(b.ids[i]), x, *_parts(-s)) for s, x in found]
+        return pd.DataFrame(out, columns=["query_id", key, "score", "_sign", "_size", "_digits"])
 
     found = (
         left.groupBy("g", "qb")
         .cogroup(right.groupBy("g", "qb"))
-        .applyInPandas(search, f"query_id long, {key} long, score long, _at int")
+        .applyInPandas(search, f"query_id long, {key} long, score long, _sign int, _size int, _digits string")
         .where("query_id IS NOT NULL")
     )
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), key)
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("_sign"), F.desc("_size"), F.desc("_digits"), key)
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", key, "score")
 
 
+def _parts(score: int) -> tuple[int, int, int, str]:
+    """The score held within a long, and columns that order larger ones."""
+    if -LONG <= score < LONG:
+        return score, 0, 0, ""
+    sign = 1 if score > 0 else -1
+    size = score.bit_length()
+    width = -(-size // 4)
+    digits = abs(score) if sign > 0 else (1 << 4 * width) - abs(score)
+    return max(-LONG, min(LONG - 1, score)), sign, sign * size, f"{digits:0{width}x}"
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all vectors for every one whose id 50 divides."""
     rows = common.table(spark, sf_dir, "embeddings")
@@ -200,15 +252,19 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-  FROM embeddings
+WITH u AS (
+  SELECT vec_id, embedding FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS e FROM u
+), a AS (
+  SELECT vec_id, list_transform(min(embedding), lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS e
+  FROM u WHERE vec_id % 50 = 0 GROUP BY vec_id
 ), p AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e, true), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM a q JOIN v c ON q.vec_id <> c.vec_id
 ), r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
 )
