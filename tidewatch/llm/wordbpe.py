@@ -19,9 +19,10 @@ from array import array
 
 import regex
 
-#: An encoder keeps so many distinct words; later ones only while their texts
-#: are encoded. Both bounds are on a worker's memory, results don't depend on them.
-MAX_WORDS = 500_000
+#: An encoder remembers so many distinct chunks twice over, the younger and the
+#: elder; the elder are forgotten when the younger are so many, but for those met
+#: since. A bound on a worker's memory; results don't depend on it.
+MAX_WORDS = 250_000
 #: Characters that are cut into words at a time.
 STRIDE = 2_000_000
 
@@ -59,10 +60,21 @@ class _Words(dict):
 
     def __init__(self, start: dict):
         super().__init__(start)
+        self.fixed, self.elder = dict(start), {}
         self.pending: dict[str, bytearray] = {}
 
-    def __missing__(self, chunk: str) -> bytearray:
-        return self.pending.setdefault(chunk, bytearray())
+    def __missing__(self, chunk: str) -> bytes | bytearray:
+        known = self.elder.pop(chunk, None)
+        if known is None:
+            return self.pending.setdefault(chunk, bytearray())
+        self[chunk] = known
+        return known
+
+    def grow_old(self) -> None:
+        """The younger become the elder, whom nobody met is forgotten."""
+        self.elder = dict(self)
+        self.clear()
+        self.update(self.fixed)
 
 
 class WordBpe:
@@ -96,6 +108,7 @@ class WordBpe:
             if self.reachable(i):
                 (self.final if t.endswith("</w>") else self.inner)[t.removesuffix("</w>")] = i
         self.inner_ends, self.final_ends = _ends(self.inner), _ends(self.final)
+        self.longest = max(3, *map(len, self.inner), *map(len, self.final))
         self.names = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
         for t, i in [*self.vocab.items(), *self.special.items()]:
             self.names[i] = t
@@ -154,7 +167,7 @@ class WordBpe:
         and is cut back to the prefix that the next word shares."""
         out: dict[str, list[int]] = {}
         last: list[int] = []  # last[i]: last token of the encoding of the first i+1 symbols
-        before, size, state = "", self.size, self.state
+        before, size, state, most = "", self.size, self.state, self.longest
         for word in sorted(words):
             n = len(word)
             shared, limit = 0, min(len(last), n - 1)
@@ -162,8 +175,8 @@ class WordBpe:
                 shared += 1
             del last[shared:]
             for i in range(shared + 1, n):
-                last.append(state(word[:i], i, last, self.inner, self.inner_ends))
-            end, ids, i = state(word, n, last, self.final, self.final_ends), [], n
+                last.append(state(word[max(0, i - most) : i], i, last, self.inner, self.inner_ends))
+            end, ids, i = state(word[-most:], n, last, self.final, self.final_ends), [], n
             while True:
                 ids.append(end)
                 i -= size[end]
@@ -175,12 +188,13 @@ class WordBpe:
             before = word
         return out
 
-    def state(self, prefix: str, n: int, last: list[int], tokens: dict, ends: dict) -> int:
+    def state(self, tail: str, n: int, last: list[int], tokens: dict, ends: dict) -> int:
         """The last token of a prefix of n symbols, from its ancestors' states:
-        of the tokens that end it, the one that may stand where it would."""
+        of the tokens that end it, the one that may stand where it would. tail:
+        as much of the prefix's end as the longest token may take."""
         pairs = self.pairs
-        for k in ends.get(prefix[-3:], SHORT):
-            if k <= n and (token := tokens.get(prefix[n - k :])) is not None:
+        for k in ends.get(tail[-3:], SHORT):
+            if k <= n and (token := tokens.get(tail[-k:])) is not None:
                 if k == n:
                     return token
                 left = last[n - k - 1]
@@ -199,7 +213,7 @@ class WordBpe:
 
     def learn(self, pending: dict[str, bytearray]) -> None:
         """Puts the packed uint32 ids of white-space-free chunks in place."""
-        if len(self.pairs) > MAX_WORDS:
+        if len(self.pairs) > 2 * MAX_WORDS:
             self.pairs.clear()
         symbols, parts, words = self.symbols, {}, set()
         if self.by_library:
@@ -221,8 +235,9 @@ class WordBpe:
             for c, cut in parts.items():
                 found = ids[cut[0]] if len(cut) == 1 else [i for w in cut for i in ids[w]]
                 pending[c][:] = array("I", found).tobytes()
-        if len(self.words) < MAX_WORDS:
-            self.words.update([(c, bytes(put)) for c, put in pending.items()])
+        self.words.update([(c, bytes(put)) for c, put in pending.items()])
+        if len(self.words) > MAX_WORDS:
+            self.words.grow_old()
 
     @property
     def library(self):
