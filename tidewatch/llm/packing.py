@@ -8,7 +8,10 @@ ranks go to which sequences; items get their rank within their length by a
 salted count, so that a length with a third of all rows is spread over tasks.
 
 Null texts count as empty: one piece, the separator. Repeated rows are packed
-each. Items of a null or non-positive length, or one above the capacity, are an
+each, and rows of a null id like any other. A very long text is encoded in
+strides and gives as many pieces as it fills. Only doc_id and text are read, so
+other columns may have any name; where items are packed themselves, columns
+named sequence_id or offset give way to the results. Items of a null or non-positive length, or one above the capacity, are an
 error of the caller and raise; an empty table gives an empty result.
 """
 
@@ -40,7 +43,9 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[Group]
     item: the item alone if nothing fits beside it; with the one item that
     fills it up; with the longest that fits, if no two fit beside it or no two
     that fit outweigh that one and no three fit. Whole counts are fixed at a
-    time, as long as the reason holds. Returns the groups and what is left."""
+    time: taking items away makes no further pair or triple fit, so a reason
+    holds until one of its lengths is used up. Hence every step ends a length,
+    however many items there are. Returns the groups and what is left."""
     left = {k: n for k, n in counts.items() if n > 0}
     fixed: list[Group] = []
 
@@ -59,6 +64,20 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[Group]
                 break
         return out
 
+    def heaviest_pair(room: int, without: int) -> int:
+        """The most that two items fill of the room, one `without` put aside."""
+        lengths = sorted(x for x in left if x <= room and left[x] > (x == without))
+        most, i, j = 0, 0, len(lengths) - 1
+        while i <= j:
+            a, b = lengths[i], lengths[j]
+            if a + b > room:
+                j -= 1
+                continue
+            if i < j or left[a] - (a == without) > 1:
+                most = max(most, a + b)
+            i += 1
+        return most
+
     for big in sorted(left, reverse=True):
         while left.get(big):
             room = capacity - big
@@ -73,20 +92,8 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[Group]
             if len(others) > 1 and others[0] + others[1] <= room:
                 if len(others) > 2 and sum(others) <= room:
                     break
-                pairs = [x for x in left if x <= room and left[x] > (x == big)]
-                most = max(
-                    (
-                        a + b
-                        for i, a in enumerate(pairs)
-                        for b in pairs[i:]
-                        if a + b <= room and (a != b or left[a] - (a == big) > 1)
-                    ),
-                    default=0,
-                )
-                if most > best:
+                if heaviest_pair(room, big) > best:
                     break
-                fix(1, big, best)  # each fixing changes which pairs remain
-                continue
             if best == big:
                 fix(left[big] // 2, big, big)
             else:
