@@ -4,16 +4,19 @@ isotonic calibration.
 
 Statistics are read once from every whole text and settled. The model learns
 from every labelled row outside the held-out fold: each partition sums its
-outer products, Spark adds the sums cell by cell, and only the fixed number of
-cells reaches the driver. Calibration pools adjacent violators over a fixed
-number of score bins, and a small share of the raw score keeps the order within
-its steps.
+outer products by part, Spark adds the sums cell by cell, and only the fixed
+number of cells reaches the driver. The parts are the four remainders of ids
+outside the fold: calibration takes each row's raw score from the model of the
+other three parts, pools adjacent violators over a fixed number of score bins,
+and a small share of the raw score keeps the order within its steps.
 
 Null texts count as empty and get a score like any text. Labels that are null,
 of another document or of a held-out one teach nothing; several labels of one
 document each count. With no usable label every score is 0.5. Repeated rows are
-scored each; rows of a null doc_id are scored and never learned from. Only
-doc_id and text are read, so other columns may have any name.
+scored each; rows of a null doc_id are scored and never learned from, and their
+remainder is that of an empty text, 0, so they count as held out. Statistics of
+a very long text take memory in proportion to it. Only doc_id and text are read,
+so other columns may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import common
@@ -38,6 +41,11 @@ _MASK = np.zeros((256, len(_CLASSES)))
 for _k, _bytes in enumerate(_CLASSES):
     _MASK[list(_bytes), _k] = 1
 N_STATS = 9 + len(_CLASSES)
+PARTS = 5  # remainders; the first is held out
+
+
+def part_of(doc_id: Column) -> Column:
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(PARTS)).cast("int")
 
 
 def statistics(text: str | None) -> np.ndarray:
@@ -129,7 +137,7 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality") -> Model:
     """stats: settled document_statistics; labels: doc_id and a 0/1 column."""
     train = stats.join(labels.select("doc_id", F.col(label).cast("double").alias("y")).where("y IS NOT NULL"), "doc_id")
-    train = common.settle(train.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0), "quality-train")
+    train = common.settle(train.withColumn("part", part_of(F.col("doc_id"))).where("part <> 0"), "quality-train")
     at = [F.col("stats")[i] for i in range(N_STATS)]
     row = train.agg(
         F.count("*"), *[F.avg(c) for c in at], *[F.stddev_pop(c) for c in at]
@@ -139,33 +147,44 @@ def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality") -> Model
     mean, scale = np.array(row[1 : N_STATS + 1]), np.array(row[N_STATS + 1 :])
     model = Model(mean, np.where(scale > 1e-9, scale, 1.0))
 
+    size = (FEATURES + 1) * (FEATURES + 2)
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        total = np.zeros((PARTS, FEATURES + 1, FEATURES + 2))
         for b in batches:
             z = model.fourier(_matrix(b.column("stats")))
-            total += z.T @ np.column_stack([z, b.column("y").to_numpy()])
-        yield pa.RecordBatch.from_pydict({"cell": np.arange(total.size, dtype=np.int32), "v": total.ravel()})
-
-    added = train.select("stats", "y").mapInArrow(sums, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v"))
-    flat = np.zeros((FEATURES + 1) * (FEATURES + 2))
-    for r in added.collect():
-        flat[r["cell"]] = r["v"]
-    both = flat.reshape(FEATURES + 1, FEATURES + 2)
+            zy, part = np.column_stack([z, b.column("y").to_numpy()]), b.column("part").to_numpy()
+            for p in np.unique(part):
+                total[p] += z[part == p].T @ zy[part == p]
+        yield pa.RecordBatch.from_pydict({"part": np.arange(1, PARTS, dtype=np.int32), "v": pa.array(list(total[1:].reshape(PARTS - 1, size)), pa.list_(pa.float64()))})
+
+    summed = train.select("stats", "y", "part").mapInArrow(sums, "part int, v array<double>")
+    cells = summed.select("part", F.posexplode("v").alias("cell", "v")).groupBy("part", "cell").agg(F.sum("v").alias("v"))
+    total = np.zeros((PARTS, size))
+    for r in cells.collect():  # a fixed number of sums
+        total[r["part"], r["cell"]] = r["v"]
+    total = total.reshape(PARTS, FEATURES + 1, FEATURES + 2)
     penalty = np.eye(FEATURES + 1) * RIDGE
     penalty[-1, -1] = 1e-6
-    model.weights = np.linalg.solve(both[:, :-1] + penalty, both[:, -1])
+
+    def solved(both: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(both[:, :-1] + penalty, both[:, -1])
+
+    everything = total.sum(axis=0)
+    model.weights = solved(everything)
+    others = np.array([solved(everything - total[p]) if p else model.weights for p in range(PARTS)])
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BINS, 3))
         for b in batches:
-            s = model.raw(_matrix(b.column("stats")))
+            s = (model.fourier(_matrix(b.column("stats"))) * others[b.column("part").to_numpy()]).sum(axis=1)
             k = np.clip(((s + 0.5) / 2 * BINS).astype(np.int64), 0, BINS - 1)
             for i, v in enumerate((np.ones(len(s)), b.column("y").to_numpy(), s)):
                 total[:, i] += np.bincount(k, v, BINS)
         has = np.flatnonzero(total[:, 0])
         yield pa.RecordBatch.from_pydict({"bin": has.astype(np.int32), **{c: total[has, i] for i, c in enumerate("nys")}})
 
-    counted = train.select("stats", "y").mapInArrow(binned, "bin int, n double, y double, s double")
+    counted = train.select("stats", "y", "part").mapInArrow(binned, "bin int, n double, y double, s double")
     rows = sorted(counted.groupBy("bin").agg(*[F.sum(c).alias(c) for c in "nys"]).collect())
     n, y, s = (np.array([r[c] for r in rows]) for c in "nys")
     model.knots, model.heights = s / n, pool_adjacent(y / n, n)
@@ -187,7 +206,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFra
     scored = stats.select("doc_id", "stats").mapInArrow(run, f"doc_id {kind}, score double")
     return scored.select(
         "doc_id",
-        (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0).alias("held_out"),
+        (part_of(F.col("doc_id")) == 0).alias("held_out"),
         "score",
         (F.col("score") >= cut).cast("int").alias("predicted"),
     )
