@@ -4,17 +4,24 @@ P(grade <= k) = sigmoid(threshold_k - w.x): one weight vector for all grades,
 one ordered threshold between neighbours. x counts terms (log1p) of the whole
 lower-cased text. The expected severity is the sum over k of P(grade > k).
 
-The model is fitted on a bounded sample of the labelled rows, the SAMPLE rows
-of smallest hash; every document is scored. Terms enter the model if their
-document frequencies show them commoner in toxic rows of the sample (equal texts once)
-by a likelihood-ratio deviance of DEVIANCE, at most TERMS of them. The labels table marks toxic documents 0 or 1;
-the grade of a toxic one (1 to GRADES-1) follows from how many of the terms it
-holds that mark toxic rows, at LEVELS.
+The model is fitted on a bounded sample of the labelled rows, the SAMPLE pairs
+of text and label of smallest hash; every document is scored. Terms enter the
+model if their document frequencies show them commoner in toxic rows of the
+sample by a likelihood-ratio deviance of DEVIANCE, at most TERMS of them; a term
+of fewer than LEAST toxic rows cannot show it.
+
+The labels mark documents toxic or not, so they alone support one threshold.
+Grades of toxic documents are drawn from models that have not seen them: the
+sample is halved by hash, a binary model of each half scores the toxic rows of
+the other, and these scores are cut into GRADES-1 equal shares, the severer the
+higher. The ordinal model is then fitted on all grades together.
 
 Null texts count as empty. Null labels and labels of unknown documents teach
 nothing. With labels of one class only, or none, every severity is 0. Repeated
-rows are scored each; several labels of one document count each. Only doc_id
-and text are read, so other columns may have any name.
+rows are scored each; several labels of one document count each. A very long
+text takes memory in proportion to it. Only doc_id and text are read, so other
+columns may have any name; rows of a null doc_id are scored and never learned
+from. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,9 +37,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import common
 
-SAMPLE, TERMS, DEVIANCE = 30_000, 2_000, 21.0
-LEVELS = (3, 6)  # terms of a toxic document for grades 2 and 3
-GRADES = 2 + len(LEVELS)
+SAMPLE, TERMS, DEVIANCE, LEAST = 30_000, 2_000, 21.0, 3
+GRADES = 4
 RIDGE, STEPS = 0.03, 1500
 CUT = 0.4  # of the probability that the grade is above 0
 #: ASCII bytes other than letters and digits part words.
@@ -108,16 +114,40 @@ def fit_ordinal(data: Rows, n_terms: int, grades: int, *, steps: int = STEPS) ->
     return free[:d], np.cumsum([free[d], *np.exp(free[d + 1 :])])
 
 
+def graded(data: Rows, half: np.ndarray, n_terms: int) -> np.ndarray:
+    """The grade of each row (data.grade: toxic or not): for toxic ones by the
+    score that a binary model of the other half gives, cut into equal shares."""
+    toxic = data.grade > 0
+    score = np.zeros(len(data.grade))
+    for own in (0, 1):
+        rows = np.flatnonzero(half != own)
+        if not (toxic[rows].any() and (~toxic[rows]).any()):
+            continue
+        place = np.full(len(half), -1)
+        place[rows] = np.arange(len(rows))
+        inside = place[data.row] >= 0
+        part = Rows(place[data.row[inside]], data.term[inside], data.value[inside], data.grade[rows], data.times[rows])
+        weights, _ = fit_ordinal(part, n_terms, 2)
+        scores = np.bincount(data.row, data.value * weights[data.term], len(half))
+        score[half == own] = np.round(scores[half == own], 9)  # sums in another order tie too
+    order = np.argsort(score[toxic], kind="stable")
+    before = np.cumsum(data.times[toxic][order]) - data.times[toxic][order]
+    values, first = np.unique(score[toxic][order], return_index=True)  # equal scores, equal grades
+    share = before[first] / max(1, data.times[toxic].sum())
+    grade = np.zeros(len(half), np.int64)
+    grade[toxic] = 1 + np.floor(share * (GRADES - 1)).astype(np.int64)[np.searchsorted(values, score[toxic])]
+    return grade
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = SAMPLE) -> Model:
-    chosen = (
-        labels.select("doc_id", F.col(label).cast("int").alias("y"))
-        .where("doc_id IS NOT NULL AND y IN (0, 1)")
-        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y")
-        .limit(sample)
-    )
-    chosen = common.settle(chosen, "toxic-sample")  # at most `sample` rows of two numbers
-    rows = common.settle(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y").distinct(), "toxic-rows")
+    known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
+    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
+    chosen = texts.join(known, "doc_id").groupBy("_text", "y").agg(F.min("doc_id").alias("doc_id"))
+    chosen = chosen.orderBy(F.xxhash64("_text", "y"), "_text", "y").limit(sample)
+    chosen = common.settle(chosen, "toxic-sample")  # at most `sample` rows of three numbers
+    named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
+    rows = named.join(F.broadcast(chosen), ["doc_id", "_text"]).groupBy("_text", "y").agg(F.first("text").alias("text"))
+    rows = common.settle(rows, "toxic-rows")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -147,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
         rows.mapInArrow(count, "term binary, toxic long, other long")
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where("toxic >= 3")
+        .where(F.col("toxic") >= LEAST)
         .where(a > both * share)
         .withColumn("deviance", deviance)
         .where(F.col("deviance") >= DEVIANCE)
@@ -167,17 +197,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
                 n = Counter(vocabulary[w] for w in terms(text.as_py()) if w in vocabulary)
                 out.append(np.array(sorted(n.items()), np.int32).reshape(-1))
             yield pa.RecordBatch.from_arrays(
-                [b.column("y"), pa.array(out, pa.list_(pa.int32()))], names=["y", "held"]
+                [b.column("y"), b.column("half"), pa.array(out, pa.list_(pa.int32()))], names=["y", "half", "held"]
             )
 
     # equal rows are counted, not repeated; there are at most `sample` of them
-    got = rows.mapInArrow(features, "y int, held array<int>").groupBy("y", "held").count().collect()
-    got.sort(key=lambda r: (r["y"], r["held"]))
+    halved = rows.select("text", "y", F.pmod("_text", F.lit(2)).cast("int").alias("half"))
+    got = halved.mapInArrow(features, "y int, half int, held array<int>").groupBy("y", "half", "held").count().collect()
+    got.sort(key=lambda r: (r["y"], r["half"], r["held"]))
     held = [np.array(r["held"], np.int64).reshape(-1, 2) for r in got]
     sizes = np.array([len(h) for h in held])
     flat = np.concatenate(held)
-    grade = np.array([r["y"] for r in got]) * (1 + sum((sizes >= level).astype(int) for level in LEVELS))
-    data = Rows(np.repeat(np.arange(len(got)), sizes), flat[:, 0], np.log1p(flat[:, 1]), grade, np.array([r["count"] for r in got]))
+    times = np.array([r["count"] for r in got])
+    data = Rows(np.repeat(np.arange(len(got)), sizes), flat[:, 0], np.log1p(flat[:, 1]), np.array([r["y"] for r in got]), times)
+    data.grade = graded(data, np.array([r["half"] for r in got]), len(picked))
     model.weights, model.thresholds = fit_ordinal(data, len(picked), GRADES)
     common.release(chosen, rows)
     return model
