@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -120,7 +121,7 @@ def test_fingerprints_and_edits_equal_brute_force(spark, documents, rows, range_
     monkeypatch.setattr(fingerprints.with_next, "__kwdefaults__", {"range_bytes": range_bytes})
     got = Counter(tuple(r) for r in fingerprints.fingerprint_documents(df).collect())
     own = [brute_terms(t) for _, t in plain]
-    order = sorted(plain, key=lambda r: (r[0], r[1].encode()), reverse=True)
+    order = sorted(plain, key=lambda r: (r[0], zlib.crc32(r[1].encode()), r[1].encode()), reverse=True)
     want = Counter()
     for k, (i, t) in enumerate(order):
         after = order[(k + 1) % len(order)][1]
