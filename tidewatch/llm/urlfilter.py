@@ -172,20 +172,53 @@ def op5_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-#: Holds where no page names an alias, as in these tables; aliases are tested by brute force.
+#: Aliases by absolute urls and by paths from the root; the tables name none, and
+#: relative ones are tested against the standard library.
 OP5_SQL = r"""
-WITH r AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+WITH RECURSIVE r AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
-  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r
+), tags AS (
+  SELECT url, unnest(list_concat(
+    list_transform(regexp_extract_all(html, '(?is)<link\b([^>]*\brel\s*=\s*["'']?canonical\b[^>]*)>', 1),
+      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(regexp_extract_all(html, '(?is)<meta\b([^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*)>', 1),
+      lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))) AS target
+  FROM pages WHERE strpos(url, '://') > 0
+), links AS (
+  SELECT url AS a, CASE WHEN strpos(target, '://') > 0 THEN target WHEN starts_with(target, '/')
+    THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || target END AS b FROM tags
+), ends AS (
+  SELECT a, b FROM links WHERE b IS NOT NULL AND b <> ''
+), nodes AS (
+  SELECT *, regexp_extract(u, '^([^#]*)', 1) AS bare FROM (SELECT a AS u FROM ends UNION SELECT b FROM ends UNION SELECT url FROM pages WHERE strpos(url, '://') > 0)
+), named AS (
+  SELECT u, lower(regexp_extract(bare, '^(.*?://[^/?#]*)', 1)) || regexp_replace(bare, '^.*?://[^/?#]*', '') AS node FROM nodes
+), edges AS (
+  SELECT x.node AS a, y.node AS b FROM ends JOIN named x ON ends.a = x.u JOIN named y ON ends.b = y.u WHERE x.node <> y.node
+), both_ways AS (
+  SELECT a, b FROM edges UNION SELECT b, a FROM edges
+), reach AS (
+  SELECT a AS node, a AS other FROM both_ways UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a
+), all_hosts AS (
+  SELECT false AS page, CAST(NULL AS BIGINT) AS page_id, node AS url, regexp_extract(substr(node, strpos(node, '://') + 3), '^([^/?#]*)', 1) AS host,
+    regexp_extract(substr(node, strpos(node, '://') + 3), '^[^/?#]*([^?#]*)', 1) AS path FROM (SELECT DISTINCT other AS node FROM reach)
+  UNION ALL SELECT true, page_id, url, host, path FROM h
 ), j AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
-    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM h
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM all_hosts
+), v AS (
+  SELECT *, CASE WHEN rule IS NULL THEN 0 WHEN rule IN ('example.com/de/', 'net/') THEN 1 ELSE 2 END AS told FROM j
+), by_alias AS (
+  SELECT reach.node, max(told) AS told FROM reach JOIN v ON v.url = reach.other AND NOT v.page GROUP BY reach.node
 )
-SELECT page_id, host, path, rule,
-  CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' ELSE 'allow' END AS verdict FROM j
+SELECT v.page_id, v.host, v.path, v.rule,
+  CASE WHEN v.told = 1 OR v.told = 0 AND by_alias.told = 1 THEN 'block' ELSE 'allow' END AS verdict
+FROM v LEFT JOIN (SELECT DISTINCT u, node FROM named) n ON n.u = v.url LEFT JOIN by_alias ON by_alias.node = n.node
+WHERE v.page
 """
