@@ -13,16 +13,23 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Folders that are deleted when their application ends.
+_leaving: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the
-    session. Only where that is unset (tests, a laptop) a temporary folder is
-    made and remembered in the session."""
+    session. Only where that is unset and all runs in one process (tests, a
+    laptop) a temporary folder is made and remembered in the session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -30,9 +37,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def settle(df: DataFrame, name: str, *, partition_by: list[str] | None = None) -> DataFrame:
     """Writes df once as zstd Parquet in the shared folder and reads it back:
-    cuts lineage, survives lost executors, and is never computed twice."""
+    cuts lineage, survives lost executors, and is never computed twice. What
+    release() has not deleted by then goes when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/tidewatch-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    if folder not in _leaving:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _leaving.add(folder)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
