@@ -10,16 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; a temporary folder only where it is
-    unset, as in tests."""
+    unset and everything runs in one process, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines reach")
         base = "file://" + tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: Folders of settled tables; Hadoop deletes them when the application ends.
+_marked: set[str] = set()
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """df written once and read back: short lineage, no recomputation."""
-    path = f"{shared_folder(df.sparkSession)}/tidewatch-core/{name}-{uuid.uuid4().hex}"
+    """df written once and read back: short lineage, no recomputation. The
+    table is deleted when the application ends."""
+    spark = df.sparkSession
+    own = f"{shared_folder(spark)}/tidewatch-core-{spark.sparkContext.applicationId}"
+    if own not in _marked:
+        place = spark._jvm.org.apache.hadoop.fs.Path(own)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        _marked.add(own)
+    path = f"{own}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
