@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import stats
-from tidewatch.operators import market, quality, robust
+from tidewatch.operators import market, quality, robust, selection
 
 DAY = dt.date(2026, 1, 1)
 
@@ -115,7 +115,7 @@ def test_robust_score_equals_brute_force(spark):
 
 def test_exact_quantile_takes_the_upper_middle(spark):
     df = spark.createDataFrame([(float(i),) for i in range(4)], "x double")
-    assert df.agg(stats.quantile_exact(F.col("x"), 0.5)).first()[0] == 2.0
+    assert selection.exact_quantiles(df.withColumn("g", F.lit(1)), ["g"], "x", {"m": 0.5}).first()["m"] == 2.0
 
 
 def test_very_large_integers_sum_exactly(spark):

@@ -47,12 +47,6 @@ def scaled_deviation(values: Column, center: Column) -> Column:
     return MAD_TO_STD * middle(F.array_sort(F.transform(values, lambda v: F.abs(v - center))))
 
 
-def quantile_exact(x: Column, p: float) -> Column:
-    """The element of 0-based index floor(p n) of the group's sorted values: the
-    upper of two middle ones. Counts of distinct values meet, not rows."""
-    return F.element_at(F.array_sort(F.collect_list(x)), F.least(F.count(x), F.floor(p * F.count(x)) + 1).cast("int"))
-
-
 def limb_sums(value: Column, limbs: int = 5, digits: int = 18) -> list[Column]:
     """Sums of the digit groups of non-negative decimal strings, lowest first.
     Up to limbs*digits digits are exact over 10^20 rows."""

@@ -6,6 +6,7 @@ with a score; a higher score is worse.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.operators.selection import nth_row
 from tidewatch.operators.storage import settle
 
 EULER = 0.5772156649015329
@@ -34,32 +36,62 @@ def zscore_score(features: Sequence[str]) -> Column:
 
 
 def _path_bonus(n: np.ndarray | int) -> np.ndarray:
-    """Mean path length of an unsuccessful search among n points."""
+    """Mean path length of an unsuccessful search among n points, to a multiple
+    of 2^-20, so that sums of it are exact in any order."""
     n = np.asarray(n, np.float64)
     harmonic = np.log(np.maximum(n - 1, 1)) + EULER
-    return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
+    mean = np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
+    return np.round(mean * (1 << 20)) / (1 << 20)
 
 
-def grow_tree(sample: np.ndarray, seed: int) -> pd.DataFrame:
+PRIME = 2**31 - 1
+
+
+def drawn(x: np.ndarray) -> np.ndarray:
+    """A permutation of 0 .. PRIME-1 that any engine's integers can follow: the
+    fifth power modulo the prime."""
+    x = np.asarray(x, np.int64) % PRIME
+    square = x * x % PRIME
+    return square * square % PRIME * x % PRIME
+
+
+def tree_seed(seed: int, tree: int) -> int:
+    return int(hashlib.md5(f"{seed}|tree|{tree}".encode()).hexdigest()[:7], 16)
+
+
+def grow_tree(sample: np.ndarray, draw: int) -> pd.DataFrame:
     """One tree as rows (node, feature, cut, left, depth); a leaf has left -1 and
-    its depth includes the bonus for the points it could not part."""
-    rng = np.random.default_rng(seed)
+    its depth includes the bonus for the points it could not part. Nodes are
+    numbered as in a heap (1, then 2n and 2n+1); a node's number and the tree's
+    draw choose among the features that still differ and the share of their
+    range at which to cut. All nodes of a depth are made at once."""
     limit = math.ceil(math.log2(max(2, len(sample))))
-    rows, todo, free = [], [(0, np.arange(len(sample)), 0)], 1
-    while todo:
-        node, at, depth = todo.pop()
-        low, high = sample[at].min(axis=0), sample[at].max(axis=0)
-        apart = np.flatnonzero(high > low)
-        if depth >= limit or len(at) <= 1 or not len(apart):
-            rows.append((node, -1, 0.0, -1, depth + float(_path_bonus(len(at)))))
-            continue
-        f = int(rng.choice(apart))
-        cut = min(float(rng.uniform(low[f], high[f])), float(np.nextafter(high[f], low[f])))
-        left = sample[at, f] <= cut
-        rows.append((node, f, cut, free, 0.0))
-        todo += [(free, at[left], depth + 1), (free + 1, at[~left], depth + 1)]
-        free += 2
-    return pd.DataFrame(rows, columns=["node", "feature", "cut", "left", "depth"]).sort_values("node")
+    node, x, made = np.ones(len(sample), np.int64), sample, []
+    for depth in range(limit + 1):
+        if not len(node):
+            break
+        order = np.argsort(node, kind="stable")
+        ids, starts, n = np.unique(node[order], return_index=True, return_counts=True)
+        low, high = np.minimum.reduceat(x[order], starts, axis=0), np.maximum.reduceat(x[order], starts, axis=0)
+        apart = high > low
+        inner = apart.any(axis=1) & (depth < limit)
+        y = drawn(draw + ids * 48271)
+        pick = y % np.maximum(apart.sum(axis=1), 1)
+        feature = np.argmax(np.cumsum(apart, axis=1) == pick[:, None] + 1, axis=1)
+        at = np.arange(len(ids))
+        a, b = low[at, feature], high[at, feature]
+        cut = a + drawn(y + 69621 * ids + 1) / float(PRIME) * (b - a)
+        cut = np.where(cut >= b, a, cut)
+        made.append(np.column_stack([ids, np.where(inner, feature, -1), np.where(inner, cut, 0.0), np.where(inner, 0.0, depth + _path_bonus(n))]))
+        own = np.searchsorted(ids, node)
+        on = inner[own]
+        right = x[np.arange(len(x)), feature[own]] > cut[own]
+        node, x = (2 * node + right)[on], x[on]
+    rows = np.concatenate(made)
+    rows = rows[np.argsort(rows[:, 0])]
+    ids, feature = rows[:, 0].astype(np.int64), rows[:, 1].astype(np.int64)
+    left = np.where(feature >= 0, np.searchsorted(ids, 2 * ids), -1)
+    return pd.DataFrame({"node": np.arange(len(ids)), "feature": feature, "cut": rows[:, 2], "left": left, "depth": rows[:, 3]})
 
 
 def tree_depths(tree: pd.DataFrame, x: np.ndarray) -> np.ndarray:
@@ -76,26 +108,29 @@ def tree_depths(tree: pd.DataFrame, x: np.ndarray) -> np.ndarray:
 def isolation_forest_score(
     rows: DataFrame, key: Sequence[str], features: Sequence[str], *, seed: int = SEED, trees: int = TREES, sample: int = SAMPLE, out: str = "iforest_score"
 ) -> DataFrame:
-    """rows with out. Each tree has a sample of its own, the rows of smallest
-    hash under the tree's seed; trees grow in parallel. The forest (at most trees * 2 *
+    """rows with out. Rows are numbered by a hash of seed and key; each tree
+    draws its sample from the first numbers by a permutation of its own, and all
+    of its choices follow from its draw, so the forest is the same on any engine
+    and partitioning. Trees grow in parallel; the forest (at most trees * 2 *
     sample nodes, whatever the input) goes to the executors, which score rows."""
     spark = rows.sparkSession
     features = list(features)
+    name = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    place = F.conv(F.substring(name, 1, 7), 16, 10).cast("long")
     # one bounded pool for all trees: enough rows that trees differ
-    pool_size = sample * 8
-    pool = rows.select(*features).orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(pool_size)
-    held = pool.toPandas().to_numpy(np.float64)  # at most pool_size rows
-    if not len(held):
+    pool = rows.select(place.alias("_place"), *features).orderBy("_place", *key).limit(sample * 8).toPandas()
+    if not len(pool):
         return rows.withColumn(out, F.lit(None).cast("double"))
-    psi = min(len(held), sample)
-    shared = spark.sparkContext.broadcast(held)
+    psi = min(len(pool), sample)
+    shared = spark.sparkContext.broadcast((pool["_place"].to_numpy(np.int64), pool[features].to_numpy(np.float64)))
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places, held = shared.value
         for b in batches:
             for t in b["id"]:
-                rng = np.random.default_rng((seed, int(t)))
-                pick = rng.choice(len(shared.value), psi, replace=False)
-                yield grow_tree(shared.value[pick], int(rng.integers(1 << 62))).assign(tree=int(t))
+                draw = tree_seed(seed, int(t))
+                pick = np.argsort(drawn(places + draw), kind="stable")[:psi]
+                yield grow_tree(held[pick], draw).assign(tree=int(t))
 
     grown = spark.range(0, trees, 1, min(trees, 32)).mapInPandas(
         grow, "node int, feature int, cut double, left int, depth double, tree int"
@@ -112,7 +147,7 @@ def isolation_forest_score(
             depth += tree_depths(tree, x)
         return pd.Series(2.0 ** (-depth / len(sent.value) / scale))
 
-    return rows.withColumn(out, score(*features))
+    return rows.withColumn(out, F.round(score(*features), 9))
 
 
 # local outlier factor (Breunig et al. 2000)
@@ -183,27 +218,34 @@ def _blocks(points: DataFrame, width: int, count: int, k: int) -> DataFrame:
     return dealt.mapInPandas(pack, "ids binary, data binary, reach binary, low array<double>, high array<double>, most double")
 
 
-def _meetings(blocks: DataFrame) -> list[tuple[int, int]]:
-    """Which blocks a block must look into: those whose bounding box lies within
-    its reach. Boxes alone come to the driver, one for BLOCK points."""
-    boxes = sorted(blocks.select("b", "low", "high", "most").collect())
-    name = [r["b"] for r in boxes]
-    low, high = np.array([r["low"] for r in boxes]), np.array([r["high"] for r in boxes])
-    out = []
-    for i, r in enumerate(boxes):
-        apart = np.maximum(0, np.maximum(low - high[i], low[i] - high))
-        out += [(name[i], name[j]) for j in np.flatnonzero(np.sqrt((apart**2).sum(axis=1)) <= r["most"] + 1e-8)]
-    return out
+def _meetings(blocks: DataFrame, width: int) -> DataFrame:
+    """(b, c): the blocks c that a block b must look into, those whose bounding
+    box lies within its reach. A range join on the first axis: boxes are entered
+    in the cells they cover, as many cells as blocks, and meet there."""
+    first = F.col("low")[0], F.col("high")[0]
+    whole = blocks.agg(F.min(first[0]).alias("a"), F.max(first[1]).alias("z"), F.count("*").alias("n")).first()
+    n = whole["n"]
+    step = (whole["z"] - whole["a"]) / n if n and whole["z"] > whole["a"] else 1.0
+
+    def cells(low: Column, high: Column) -> Column:
+        inside = [F.least(F.greatest(F.floor((x - whole["a"]) / step), F.lit(0)), F.lit(n - 1)) for x in (low, high)]
+        return F.explode(F.sequence(*inside)).alias("cell")
+
+    margin = F.col("most") + 1e-8
+    asking = blocks.select("b", "low", "high", margin.alias("most"), cells(first[0] - margin, first[1] + margin))
+    asked = blocks.select(F.col("b").alias("c"), F.col("low").alias("low2"), F.col("high").alias("high2"), cells(*first))
+    apart = [F.greatest(F.col("low2")[i] - F.col("high")[i], F.col("low")[i] - F.col("high2")[i], F.lit(0.0)) for i in range(width)]
+    near = sum((x * x for x in apart), F.lit(0.0)) <= F.col("most") * F.col("most")
+    return asking.join(asked.hint("merge"), "cell").where(near).select("b", "c").distinct()
 
 
 def nearest_neighbors(points: DataFrame, width: int, k: int) -> DataFrame:
     """(id, other, distance, place) of each point's k nearest others, exact. A
     task compares two blocks at a time and gives what lies within the reach that
     the point's own block already assures. Ties go to the smaller id."""
-    spark = points.sparkSession
     packed = _blocks(points, width, points.count(), k)
     blocks = settle(packed.withColumn("b", F.monotonically_increasing_id()), "blocks")
-    meetings = spark.createDataFrame(_meetings(blocks) or [(-1, -1)], "b long, c long")
+    meetings = _meetings(blocks, width)
     asked = blocks.select("b", "ids", "data", "reach")
     others = blocks.select(F.col("b").alias("c"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
     pairs = meetings.join(asked, "b").join(others, "c")
@@ -260,22 +302,19 @@ def budget_size(n: Column, rate: float) -> Column:
 def flag_top(rows: DataFrame, score: str, key: Sequence[str], *, rate: float | None = None, k: int | None = None, out: str) -> DataFrame:
     """rows with the boolean out: true for exactly the highest k, or the rate's
     share, of scores; ties by key. Only rows at or above an approximate quantile
-    just below the cut are put in order; the last one flagged is the boundary
-    that all rows are held against, so nothing else is sorted."""
+    just below the cut are put in order, part by part; the last one flagged is
+    the boundary that all rows are held against."""
     if (rate is None) == (k is None):
         raise ValueError("give either a rate or k")
-    total = rows.select(score).agg(F.count("*").alias("n"))
-    size = total.select("n", (F.lit(k).cast("long") if k is not None else budget_size(F.col("n"), rate)).alias("k")).first()
-    if not size["n"]:
+    total = rows.select(score).agg(F.count("*").alias("n"), F.count(score).alias("known"))
+    size = total.select("n", "known", (F.lit(k).cast("long") if k is not None else budget_size(F.col("n"), rate)).alias("k")).first()
+    if not size["known"]:
         return rows.withColumn(out, F.lit(False))
-    share = max(0.0, 1 - (size["k"] + 1) / size["n"] - 0.002)
+    share = max(0.0, 1 - (size["k"] + 1) / size["known"] - 0.002)
     near = rows.agg(F.percentile_approx(score, share, 10_000).alias("v")).first()["v"]
     order = [F.desc(score), *[F.asc(c) for c in key]]
-    above = rows.select(score, *key)
-    if near is not None:
-        above = above.where(F.col(score) >= near)
-    last = above.withColumn("_n", F.row_number().over(W.orderBy(*order))).where(F.col("_n") <= size["k"])
-    last = last.orderBy(F.desc("_n")).limit(1).first()
+    above = rows.select(score, *key).where(F.col(score) >= near)
+    last = nth_row(above, order, min(size["k"], size["known"]))
     if last is None:
         return rows.withColumn(out, F.lit(False))
     inside = F.col(score) > F.lit(last[score])
@@ -284,5 +323,3 @@ def flag_top(rows: DataFrame, score: str, key: Sequence[str], *, rate: float | N
         inside = inside | (tie & (F.col(c) < F.lit(last[c])))
         tie = tie & (F.col(c) == F.lit(last[c]))
     return rows.withColumn(out, F.coalesce(inside | tie, F.lit(False)))
-
-

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewatch.operators.selection import nth_row
+from tidewatch.operators.storage import settle
+
 TRANSFER_KEY = ("token", "tx_hash", "tx_seq")
 RANK = {"history": 0, "snapshot": 1, "reconciled": 2}
 
@@ -84,9 +87,11 @@ def reconcile_change(before: DataFrame, newer: DataFrame, key: Sequence[str] = (
     then = before.select(*key, F.col("volume").alias("_before"))
     both = newer.join(then, list(key)).where(F.col("_before") != 0)
     change = F.abs(F.col("volume") / F.col("_before") - 1)
-    n = F.count("*")
-    upper = F.try_element_at(F.array_sort(F.collect_list(change)), (F.floor(n / 2) + 1).cast("int"))
-    return both.agg(n.alias("rows"), upper.alias("median_change"))
+    changes = settle(both.select(change.alias("change"), *key), "changes")
+    n = changes.count()
+    upper = nth_row(changes, [F.asc("change"), *map(F.asc, key)], n // 2 + 1)
+    told = changes.sparkSession.range(1).select(F.lit(n).cast("long").alias("rows"))
+    return told.withColumn("median_change", F.lit(upper["change"] if upper else None).cast("double"))
 
 
 def touched_days(stored: DataFrame, fetched: DataFrame, *, token: str = "token", time: str = "block_time") -> DataFrame:
