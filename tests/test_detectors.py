@@ -143,3 +143,36 @@ def test_recall_and_hits(spark):
     events = evaluation.events_frame(spark, [("hit", "a", "2026-01-06"), ("no data", "x", "2026-01-06")])
     hits = {r["event"]: (r["rows"], r["z"], r["max_abs_rz_return"]) for r in evaluation.window_hits(scored, events, methods=["z"]).collect()}
     assert hits == {"hit": (1, True, 5.0), "no data": (0, False, None)}
+
+
+def test_flags_among_many_ties_and_nulls(spark):
+    rows = [(f"k{i:04d}", 1.0 if i % 3 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, s double").repartition(7)
+    got = {r["k"] for r in detectors.flag_top(df, "s", ["k"], k=250, out="f").where("f").collect()}
+    assert got == {k for k, _ in sorted(r for r in rows if r[1])[:250]}
+    assert detectors.flag_top(df, "s", ["k"], k=5000, out="f").where("f").count() == 600
+
+
+def test_meetings_are_all_boxes_within_reach(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for b in range(60):
+        low = rng.normal(size=3) * 3
+        rows.append((b, low.tolist(), (low + rng.random(3)).tolist(), float(rng.random() * (30 if b == 7 else 1))))
+    df = spark.createDataFrame(rows, "b long, low array<double>, high array<double>, most double")
+    want = set()
+    for b, low, high, most in rows:
+        for c, low2, high2, _ in rows:
+            apart = np.maximum(0, np.maximum(np.array(low2) - high, np.array(low) - high2))
+            if np.sqrt((apart**2).sum()) <= most + 1e-8:
+                want.add((b, c))
+    assert {tuple(r) for r in detectors._meetings(df, 3).collect()} == want
+
+
+def test_reports_as_documents(spark):
+    from tidewatch.operators import reports
+
+    df = spark.createDataFrame([("a", 1, 0.5), ("b", 2, None)], "k string, n int, x double")
+    body = {r["item"]: r["body"] for r in reports.documents({"s": (df, ["k"])}).collect()}
+    assert body == {"a": '{"k":"a","n":1,"x":0.5}', "b": '{"k":"b","n":2}'}
+    assert {(r["item"], r["field"]): r["value"] for r in reports.figures({"s": (df, ["k"])}).collect()} == {("a", "n"): 1.0, ("a", "x"): 0.5, ("b", "n"): 2.0, ("b", "x"): None}

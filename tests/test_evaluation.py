@@ -17,6 +17,7 @@ def test_every_strength_with_the_whole_forest(spark, monkeypatch, name):
         return forest(*args, trees=2, **more)  # few trees: what is asked for counts here
 
     monkeypatch.setattr(detectors, "isolation_forest_score", seen)
+    monkeypatch.setattr(queries, "_done", {})
     rows = queries.QUERIES[name](spark, SF).collect()
     assert {r["strength"] for r in rows} == set(evaluation.STRENGTHS) == {3.0, 6.0, 12.0, 24.0}
     assert grown == [detectors.TREES] * 4 == [300] * 4

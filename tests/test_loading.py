@@ -83,7 +83,57 @@ def test_whole_blocks_come_once_and_in_order(empties):
 
 
 def test_two_empty_answers_end_it():
-    assert list(shell.complete_blocks(lambda *a: [], 1, 10)) == []
+    assert list(shell.complete_blocks(lambda *a: [], 1, 10)) == [([], 11)]
+
+
+@pytest.mark.parametrize("cut", [1, 2, 3])
+def test_answers_that_stop_short_lose_nothing(cut):
+    """Truncated answers are no end: the last block is asked for again."""
+    records = chain([100, 100, 100, 101, 101, 105, 105, 105, 105, 106, 110, 110, 110])
+    whole = pager(records, 4)
+
+    def short(first, last, page):
+        got = whole(first, last, page)
+        return got if first == last or len({r["blockNumber"] for r in got}) == 1 else got[: max(cut, 1 + sum(r["blockNumber"] == got[0]["blockNumber"] for r in got))]
+
+    batches = list(shell.complete_blocks(short, 100, 120, page_size=4))
+    assert [r for batch, _ in batches for r in batch] == records and batches[-1] == ([], 121)
+    assert all(a < b for (_, a), (_, b) in zip(batches, batches[1:]))
+
+
+def test_a_block_of_several_pages():
+    records = chain([7] * 9 + [8])
+    assert [r for batch, _ in shell.complete_blocks(pager(records, 4), 7, 8, page_size=4) for r in batch] == records
+
+
+def test_recheck_goes_on_after_the_last_stored_block(tmp_path):
+    records = chain([1, 1, 2, 3])
+    point = shell.Checkpoint(tmp_path, "t")
+    assert shell.pull(pager(records[:3], 4), point, 1, 9) == 3
+    assert shell.pull(pager(records, 4), point, 1, 9) == 3  # believed to be finished
+    assert shell.pull(pager(records, 4), point, 1, 9, recheck=True) == 4 and point.newest_block() == 3
+
+
+def test_numbering_and_slimming():
+    rows = shell.numbered([{"hash": h, "extra": 1, "value": "5"} for h in "aaba"])
+    assert [(r["hash"], r["txSeq"]) for r in rows] == [("a", 0), ("a", 1), ("b", 0), ("a", 2)]
+    assert "extra" not in rows[0] and rows[0]["value"] == "5" and rows[0]["gasUsed"] is None
+
+
+def test_jobs_are_tried_again_with_doubled_pauses(tmp_path):
+    slept, left = [], [2]
+
+    def job():
+        if left[0]:
+            left[0] -= 1
+            raise OSError("down")
+        return 7
+
+    assert shell.retried(job, sleep=slept.append) == 7 and slept == [60, 120]
+    left[0] = 3
+    with pytest.raises(OSError):
+        shell.retried(job, sleep=slept.append)
+    assert shell.once(tmp_path / "a" / "x.json", lambda: {"v": 1}) == shell.once(tmp_path / "a" / "x.json", lambda: {"v": 2}) == {"v": 1}
 
 
 def test_pull_resumes_after_a_broken_run(tmp_path):
@@ -101,7 +151,9 @@ def test_pull_resumes_after_a_broken_run(tmp_path):
 
 def test_retries_and_refusals():
     answers = iter([(429, ""), (500, ""), (200, "no json"), (200, '{"a": 1}')])
-    assert shell.get_json("u", get=lambda u: next(answers), sleep=lambda s: None) == {"a": 1}
+    slept, asked = [], []
+    assert shell.get_json("u", get=lambda u: next(answers), sleep=slept.append, before=lambda: asked.append(1), refused=60) == {"a": 1}
+    assert slept == [60, 4, 8] and len(asked) == 4
     with pytest.raises(shell.FetchError):
         shell.get_json("u", get=lambda u: (404, ""), sleep=lambda s: None)
     limited = iter([{"status": "0", "message": "NOTOK", "result": "Max rate limit reached"}, {"status": "0", "message": "No transactions found"}])
@@ -210,6 +262,31 @@ def test_csv_and_document_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "name string, v double")
     files.write_csv(df, str(tmp_path / "csv"))
     assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "csv"), "name string, v double").collect())) == [("a", 1.5), ("b", None)]
-    sections = spark.createDataFrame([("x", "[1, 2]")], "section string, body string")
-    assert files.write_document(sections, str(tmp_path / "o" / "d.json"))["sections"] == 1
-    assert json.loads((tmp_path / "o" / "d.json").read_text()) == {"x": [1, 2]}
+    sections = spark.createDataFrame([("y", "b", "[1]"), ("x", "a", "[1, 2]"), ("x", "b", "{}")], "section string, item string, body string")
+    assert files.write_document(sections, str(tmp_path / "o" / "d.json"))["sections"] == 2
+    assert json.loads((tmp_path / "o" / "d.json").read_text()) == {"x": {"a": [1, 2], "b": {}}, "y": {"b": [1]}}
+    assert files.write_document(sections.where("false"), str(tmp_path / "o" / "e.json"))["sections"] == 0
+
+
+def test_label_lines_and_placed_transfers(spark, tmp_path):
+    lines = [{"address": "0xA", "is_contract": True, "record": {"contractCreator": "me", "blockNumber": "9"}}, {"address": "0xB", "is_contract": False, "record": None}]
+    (tmp_path / "labels.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    got = sorted(map(tuple, transfers_json.read_labels(spark, str(tmp_path / "labels.jsonl")).collect()))
+    assert got == [("0xA", True, "me", "", 9), ("0xB", False, "", "", 0)]
+    moves = [{"hash": "h", "txSeq": "0", "value": v, "timeStamp": "0"} for v in ("1", "2")]
+    (tmp_path / "T.jsonl").write_text("".join(json.dumps(x) + "\n" for x in moves))
+    rows = transfers_json.read_transfers(spark, str(tmp_path / "T.jsonl"), "T", placed=True)
+    assert load.latest(rows, load.TRANSFER_KEY, [load.file_order(F.col("path")), "path", "line"]).first()["value_raw"] == "2"
+
+
+def test_load_verification_sees_what_is_missing(spark):
+    coins = spark.createDataFrame([("a",), ("b",)], "coin_id string")
+    day = dt.date(2026, 1, 1)
+    market = spark.createDataFrame([("a", day), ("b", day)], "coin_id string, date date")
+    moved = spark.createDataFrame([("T", "h", 0, "9" * 40), ("T", "h", 1, "1")], "token string, tx_hash string, tx_seq int, value_raw string")
+    daily = spark.createDataFrame([("T", 2)], "token string, transfers long")
+    good = contracts.verify_load((coins, coins), (market, market), (moved, moved), daily)
+    assert good.count() == 7 and good.where("NOT passed").count() == 0
+    wrong = moved.withColumn("value_raw", F.lit("1"))
+    bad = contracts.verify_load((coins, coins.limit(1)), (market, market.unionAll(market)), (moved, wrong), daily)
+    assert {r["check"] for r in bad.where("NOT passed").collect()} == {"coins", "market rows", "T values"}

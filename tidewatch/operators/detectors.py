@@ -287,7 +287,8 @@ def lof_score(
     density = settle(reach.groupBy("id").agg((1 / (F.avg("reach") + DENSITY_GUARD)).alias("density")), "density")
     around = near.join(density.select(F.col("id").alias("other"), F.col("density").alias("theirs")), "other")
     factor = around.groupBy("id").agg(F.avg("theirs").alias("theirs")).join(density, "id")
-    scored = points.join(factor, "id").select(*[F.col(n).alias(f"_{n}") for n in names], (F.col("theirs") / F.col("density")).alias(out))
+    ratio = F.round(F.col("theirs") / F.col("density"), 9)
+    scored = points.join(factor, "id").select(*[F.col(n).alias(f"_{n}") for n in names], ratio.alias(out))
     return rounded.join(scored, [f"_{n}" for n in names]).select(*rows.columns, out)
 
 

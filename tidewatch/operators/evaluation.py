@@ -7,6 +7,7 @@ balanced."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import detectors
 from tidewatch.operators.robust import RETURN_FLOOR, VOLUME_FLOOR, trailing_scale
 from tidewatch.operators.scoring import METHODS
+from tidewatch.operators.selection import ranked
 
 TYPES = ("price_spike", "volume_spike", "combo")
 LEAST_HISTORY = 40
@@ -34,10 +36,9 @@ def choose_sites(rows: DataFrame, *, seed: int = SEED, least: int = LEAST_HISTOR
     least+1 rows, at or after its row number `least` (from 0)."""
     sizes = rows.groupBy("coin_id").agg(F.count("*").alias("_n")).where(F.col("_n") > least + 1)
     picked = sizes.select("coin_id", (least + _draw(seed, "row", "coin_id") % (F.col("_n") - least)).alias("_at"))
-    # the list of entities is ordered, not their rows
-    turn = F.row_number().over(W.orderBy(_draw(seed, "turn", "coin_id"), "coin_id")) - 1
+    picked = ranked(picked, [_draw(seed, "turn", "coin_id"), F.col("coin_id")], "_turn")
     kinds = F.array(*map(F.lit, TYPES))
-    picked = picked.withColumn("type", kinds[(turn % len(TYPES)).cast("int")])
+    picked = picked.withColumn("type", kinds[((F.col("_turn") - 1) % len(TYPES)).cast("int")]).drop("_turn")
     picked = picked.withColumn("sign", F.when(_draw(seed, "sign", "coin_id") % 2 == 0, 1.0).otherwise(-1.0))
     numbered = rows.select("coin_id", "date", (F.row_number().over(W.partitionBy("coin_id").orderBy("date")) - 1).alias("_at"))
     return numbered.join(picked, ["coin_id", "_at"]).select("coin_id", "date", "type", "sign")
@@ -123,24 +124,17 @@ def market_wide(scored: DataFrame, dates: Sequence[str], *, methods: Sequence[st
     return daily.where(F.col("date").isin([*dates])).crossJoin(F.broadcast(usual))  # one row
 
 
-def injection_sweep(rows: DataFrame, score, *, strengths: Sequence[float] = STRENGTHS, seed: int = SEED, methods: Sequence[str] = METHODS) -> DataFrame:
-    """recall at every strength. score: features with anomalies -> scored rows."""
+def planted(rows: DataFrame, score, *, strengths: Sequence[float] = STRENGTHS, seed: int = SEED) -> tuple[DataFrame, dict[float, DataFrame]]:
+    """The sites, and rows scored with anomalies at them, by strength. score:
+    features with anomalies -> scored rows."""
     sites = choose_sites(rows, seed=seed)
-    out = None
-    for s in strengths:
-        found = recall(score(inject(rows, sites, s)), sites, methods=methods).withColumn("strength", F.lit(float(s)))
-        out = found if out is None else out.unionByName(found)
-    return out
+    return sites, {float(s): score(inject(rows, sites, s)) for s in strengths}
 
 
-def precision_sweep(rows: DataFrame, score, *, strengths: Sequence[float] = STRENGTHS, seed: int = SEED, methods: Sequence[str] = METHODS) -> DataFrame:
-    """precision_at_k at every strength. score: as for injection_sweep."""
-    sites = choose_sites(rows, seed=seed)
-    out = None
-    for s in strengths:
-        found = precision_at_k(score(inject(rows, sites, s)), sites, methods=methods).withColumn("strength", F.lit(float(s)))
-        out = found if out is None else out.unionByName(found)
-    return out
+def sweep(measure, sites: DataFrame, scored: dict[float, DataFrame], *, methods: Sequence[str] = METHODS) -> DataFrame:
+    """A measure (recall or precision_at_k) at every strength."""
+    parts = [measure(rows, sites, methods=methods).withColumn("strength", F.lit(s)) for s, rows in scored.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def events_frame(spark: SparkSession, events: Sequence[tuple[str, str, str]]) -> DataFrame:

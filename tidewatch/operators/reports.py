@@ -1,12 +1,13 @@
-"""Report queries and the dashboard document."""
+"""Report queries, the dashboard and the written report as sections of rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidewatch.functions.stats import significant
 from tidewatch.operators.quality import impossible_turnover
@@ -142,28 +143,107 @@ def notable_first(coins: DataFrame, notable: Sequence[str], *, top: int = 150) -
     return best.unionByName(more).groupBy("coin_id").agg(F.min("place").alias("place"))
 
 
-def dashboard(raw: DataFrame, flagged: DataFrame, quality: DataFrame, clean_rows: DataFrame, typed: DataFrame, transfers: DataFrame) -> DataFrame:
-    """One JSON document, a section a row: (section, body)."""
-    from tidewatch.operators import compare
-
-    def section(name: str, rows: DataFrame) -> DataFrame:
-        body = F.to_json(F.array_sort(F.collect_list(F.struct(*rows.columns))))
-        return rows.agg(body.alias("body")).select(F.lit(name).alias("section"), "body")
-
+def totals(raw: DataFrame, quality: DataFrame, clean_rows: DataFrame, features: DataFrame, typed: DataFrame, transfers: DataFrame, labels: DataFrame) -> DataFrame:
+    """The report's head figures in one row."""
+    moved = transfers.agg(F.count("*").alias("transfers"))
+    known = transfers.select(F.explode(F.array("from_address", "to_address")).alias("address")).agg(F.count_distinct("address").alias("addresses"))
+    votes = vote_totals(typed).withColumnsRenamed({"rows": "modelled_rows", "coins": "modelled_coins", "flags": "flags_per_method"})
     parts = [
-        section("status", status_counts(quality)),
-        section("glitches", glitches_removed(flagged, quality)),
-        section("turnover", turnover_summary(clean_rows)),
-        section("turnover_days", turnover_days(clean_rows)),
-        section("agreement", compare.agreement(typed)),
-        section("mix", compare.method_mix(typed)),
-        section("strongest", compare.strongest_agreed(typed).select("coin_id", "date", "type", "votes", "volume")),
-        section("wash", compare.wash_candidates(typed).select("coin_id", "date", "volume").orderBy(F.desc("volume")).limit(40)),
-        section("votes", vote_totals(typed)),
-        section("tokens", token_totals(transfers)),
-        section("series", series_on_spine(raw)),
+        raw.agg(F.count_distinct("coin_id").alias("coins"), F.count("*").alias("market_rows")),
+        quality.agg(F.count_if(F.col("status") == "ok").alias("clean_coins")),
+        votes,
+        moved,
+        known,
+        labels.agg(F.count("*").alias("labelled"), F.count_if("is_contract").alias("contracts")),
+        fat_tails(features).select(F.col("share").alias("fat_tail_share")),
+        median_turnover(clean_rows),
     ]
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.crossJoin(F.broadcast(p))  # one row each
+    return out
+
+
+#: Section -> its rows and the columns that name one.
+Sections = dict[str, tuple[DataFrame, Sequence[str]]]
+
+
+def documents(sections: Sections) -> DataFrame:
+    """(section, item, body): a JSON object for each row of each section."""
+    out = None
+    for name, (rows, item) in sections.items():
+        body = F.to_json(F.struct(*rows.columns))
+        part = rows.select(F.lit(name).alias("section"), _item(item).alias("item"), body.alias("body"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _item(columns: Sequence[str]) -> Column:
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+
+
+def figures(sections: Sections, *, digits: int = 6) -> DataFrame:
+    """(section, item, field, value): every number of the sections a row."""
+    out = None
+    for name, (rows, item) in sections.items():
+        numbers = [f.name for f in rows.schema.fields if isinstance(f.dataType, NumericType) and f.name not in item]
+        cells = [F.struct(F.lit(c).alias("field"), F.round(F.col(c).cast("double"), digits).alias("value")) for c in numbers]
+        part = rows.select(F.lit(name).alias("section"), _item(item).alias("item"), F.inline(F.array(*cells)))
+        out = part if out is None else out.unionByName(part)
     return out
+
+
+def dashboard(
+    raw: DataFrame, flagged: DataFrame, quality: DataFrame, clean_rows: DataFrame, typed: DataFrame, transfers: DataFrame,
+    token_features: DataFrame, *, times: Sequence[float] = (1, 5, 10), digits: int = 5,
+    values: Sequence[str] = ("price", "volume"),
+) -> Sections:
+    """The sections of the dashboard, for documents() or figures(). Series have
+    a row for an entity's day, so nothing gathers a whole table in one place."""
+    from tidewatch.operators import compare
+
+    series = raw.select("coin_id", "date", *[significant(F.col(c), digits).alias(c) for c in values])
+    daily = ("transfers", "unique_addresses", "new_addresses", "rt_share", "top10_sender_share", "large_transfers", "hub_share")
+    return {
+        "status": (status_counts(quality), ["status"]),
+        "glitches": (glitches_removed(flagged, quality), []),
+        "turnover": (turnover_summary(clean_rows, times), ["times"]),
+        "turnover_days": (turnover_days(clean_rows, times=sorted(times)[len(times) // 2]), ["coin_id", "date"]),
+        "agreement": (compare.agreement(typed), ["a", "b"]),
+        "mix": (compare.method_mix(typed), ["method"]),
+        "strongest": (compare.strongest_agreed(typed).select("coin_id", "date", "type", "votes", "volume"), ["coin_id", "date", "type"]),
+        "wash": (compare.wash_candidates(typed).select("coin_id", "date", "volume").orderBy(F.desc("volume"), "coin_id", "date").limit(40), ["coin_id", "date"]),
+        "votes": (vote_totals(typed), []),
+        "tokens": (token_totals(transfers), ["token"]),
+        "activity": (token_features.select("token", "day", *daily), ["token", "day"]),
+        "series": (series, ["coin_id", "date"]),
+    }
+
+
+def insights(
+    raw: DataFrame, flagged: DataFrame, quality: DataFrame, clean_rows: DataFrame, features: DataFrame, typed: DataFrame, transfers: DataFrame,
+    labels: DataFrame, token_features: DataFrame, recalls: DataFrame, hits: DataFrame, *, token: str, times: Sequence[float] = (1, 5, 10),
+) -> Sections:
+    """The written report's numbers: data, quality, tails, turnover, transfers,
+    agreement, recall of planted anomalies and events."""
+    from tidewatch.operators import compare
+    from tidewatch.operators.transfers import contract_share, mutual_pairs
+
+    tails = fat_tails(features).select("share")
+    return {
+        "data": (raw.agg(F.count_distinct("coin_id").alias("coins"), F.count("*").alias("rows")), []),
+        "transfers": (token_totals(transfers), ["token"]),
+        "status": (status_counts(quality), ["status"]),
+        "glitches": (glitches_removed(flagged, quality), []),
+        "tails": (tails.withColumn("times_normal", F.col("share") / 0.0027), []),
+        "votes": (vote_totals(typed), []),
+        "median_turnover": (median_turnover(clean_rows), []),
+        "turnover": (turnover_summary(clean_rows, times), ["times"]),
+        "leaders": (turnover_leaders(clean_rows, times=sorted(times)[len(times) // 2]), ["coin_id"]),
+        "pairs": (contract_share(mutual_pairs(transfers), labels), ["token"]),
+        "round_trips": (round_trip_summary(token_features), ["token"]),
+        "functions": (function_shares(transfers, token=token), ["function"]),
+        "agreement": (compare.agreement(typed).where("a < b"), ["a", "b"]),
+        "recall": (recalls.where(F.col("type").isin("all", "combo")), ["type", "strength"]),
+        "events": (hits.select("event", "rows", *[F.col(m).cast("int").alias(m) for m in METHODS if m in hits.columns]), ["event"]),
+    }

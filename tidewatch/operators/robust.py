@@ -13,16 +13,23 @@ RETURN_FLOOR, VOLUME_FLOOR = 0.005, 0.10
 FEATURES = ("rz_return", "rz_volume", "rz_turnover", "rz_residual")
 
 
-def robust_z(rows: DataFrame, value: Column, over: WindowSpec, *, floor: float, out: str, min_periods: int = 20) -> DataFrame:
-    """rows with out. The window's values are one bounded array for each row (a
-    calendar window of d days holds at most d rows); nulls don't count."""
-    held = rows.withColumn("_x", value).withColumn("_w", F.collect_list("_x").over(over))
-    x = F.col("_x")
-    score = let(
-        F.array_sort("_w"),
-        lambda w: let(middle(w), lambda c: (x - c) / F.greatest(scaled_deviation(w, c), F.lit(floor))),
-    )
-    return held.withColumn(out, only_if(F.size("_w") >= min_periods, score)).drop("_x", "_w")
+def robust_z(rows: DataFrame, sources: dict[str, tuple[Column, float]], over: WindowSpec, *, min_periods: int = 20) -> DataFrame:
+    """rows with a score for each source (name -> value, floor), from one pass
+    over the window. Its values are a bounded array for each row (a calendar
+    window of d days holds at most d rows); nulls don't count."""
+    held = rows.withColumns({f"_x_{out}": value for out, (value, _) in sources.items()})
+    held = held.withColumns({f"_w_{out}": F.collect_list(f"_x_{out}").over(over) for out in sources})
+
+    def score(out: str, floor: float) -> Column:
+        x, known = F.col(f"_x_{out}"), F.col(f"_w_{out}")
+        ratio = let(
+            F.array_sort(known),
+            lambda w: let(middle(w), lambda c: (x - c) / F.greatest(scaled_deviation(w, c), F.lit(floor))),
+        )
+        return only_if(F.size(known) >= min_periods, ratio)
+
+    scored = held.withColumns({out: score(out, floor) for out, (_, floor) in sources.items()})
+    return scored.drop(*[f"_{k}_{out}" for k in "xw" for out in sources])
 
 
 def robust_market_features(rows: DataFrame, *, window_days: int = 30, min_periods: int = 20) -> DataFrame:
@@ -35,15 +42,13 @@ def robust_market_features(rows: DataFrame, *, window_days: int = 30, min_period
         "rz_turnover": (only_if(traded, F.ln(F.col("volume") / F.col("market_cap"))), VOLUME_FLOOR),
         "rz_residual": (F.col("residual_return"), RETURN_FLOOR),
     }
-    for out, (value, floor) in sources.items():
-        rows = robust_z(rows, value, past, floor=floor, out=out, min_periods=min_periods)
-    return rows
+    return robust_z(rows, sources, past, min_periods=min_periods)
 
 
 def robust_series(rows: DataFrame, *, value: str, date: str = "date", floor: float, out: str = "z", window_days: int = 30) -> DataFrame:
     """The score of one series (a row a day, so at most as many rows as days)."""
     named = rows.withColumn("_one", F.lit(1))
-    return robust_z(named, F.col(value), trailing_days("_one", date, window_days), floor=floor, out=out).drop("_one")
+    return robust_z(named, {out: (F.col(value), floor)}, trailing_days("_one", date, window_days)).drop("_one")
 
 
 def trailing_scale(value: Column, entity: str, order: str, *, rows: int = 30, floor: float) -> Column:

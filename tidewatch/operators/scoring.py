@@ -16,6 +16,7 @@ MARKET_BUDGET, TOKEN_BUDGET = 0.01, 0.05
 METHODS = ("zscore", "iforest", "lof")
 TOKEN_FEATURES = ("transfers_z", "addresses_z", "rt_share_z", "tpa_z", "concentration_z", "large_transfers_z")
 TOKEN_NEIGHBORS = 10
+DIGITS = 6  # of features as they are scored, so that engines agree on scores and ties
 
 
 def model_rows(rows: DataFrame) -> DataFrame:
@@ -24,6 +25,10 @@ def model_rows(rows: DataFrame) -> DataFrame:
     return rows.dropna(subset=["rz_return", "rz_volume", "rz_residual"]).fillna(0.0, ["rz_turnover"])
 
 
+def fixed(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    return rows.withColumns({c: F.round(c, DIGITS) for c in features})
+
+
 def score(
     rows: DataFrame, key: Sequence[str], features: Sequence[str], *, budget: float, n_neighbors: int = detectors.NEIGHBORS,
     methods: Sequence[str] = METHODS, trees: int = detectors.TREES,
@@ -43,7 +48,7 @@ def score(
 
 
 def score_market(features: DataFrame, *, budget: float = MARKET_BUDGET, methods: Sequence[str] = METHODS, trees: int = detectors.TREES) -> DataFrame:
-    rows = settle(model_rows(robust_market_features(features)), "model-rows")
+    rows = settle(fixed(model_rows(robust_market_features(features)), ROBUST), "model-rows")
     return score(rows, ["coin_id", "date"], ROBUST, budget=budget, methods=methods, trees=trees)
 
 
@@ -52,7 +57,7 @@ def token_rows(features: DataFrame) -> DataFrame:
 
 
 def score_tokens(features: DataFrame, *, budget: float = TOKEN_BUDGET, methods: Sequence[str] = METHODS, trees: int = detectors.TREES) -> DataFrame:
-    rows = settle(token_rows(features), "token-rows")
+    rows = settle(fixed(token_rows(features), TOKEN_FEATURES), "token-rows")
     return score(rows, ["token", "day"], TOKEN_FEATURES, budget=budget, n_neighbors=TOKEN_NEIGHBORS, methods=methods, trees=trees)
 
 

@@ -26,6 +26,19 @@ def nth_row(rows: DataFrame, order: Sequence[Column], n: int) -> Row | None:
     return None
 
 
+def ranked(rows: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """rows with their rank, from 1, in the order: dealt by range, ranked within
+    each part, with the sizes of the parts before added."""
+    parts = settle(rows.orderBy(*order).withColumn("_part", F.spark_partition_id()), "ordered")
+    starts, before = [], 0
+    for r in sorted(parts.groupBy("_part").count().collect()):  # one row a part
+        starts.append((r["_part"], before))
+        before += r["count"]
+    start = F.coalesce(*[F.when(F.col("_part") == p, F.lit(n).cast("long")) for p, n in starts], F.lit(0).cast("long"))
+    own = F.row_number().over(W.partitionBy("_part").orderBy(*order))
+    return parts.withColumn(out, start + own).drop("_part")
+
+
 def exact_quantiles(rows: DataFrame, key: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
     """For each key and wanted share p the value of 0-based rank floor(p n) among
     its n known values, the last at most: of two middle ones the upper. Equal

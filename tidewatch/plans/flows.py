@@ -152,11 +152,15 @@ def market_reconcile(store: Store, rows: DataFrame) -> DataFrame:
 
 def transfer_update(store: Store, fetched: DataFrame) -> list[str]:
     """Replaces the days that a refetch touches: from the earliest of the
-    tokens' last stored days on. Running it again changes nothing."""
+    tokens' last stored days on. Of rows of one key the last in fetch order
+    (columns path and line, if there) stays, else the greatest, so that running
+    it again changes nothing."""
     stored = store.read("token_transfers_raw")
     days = [str(r["day"]) for r in load.touched_days(stored, fetched).collect()]  # the days of one run
     start = min(days)
     inside = fetched.withColumn("day", F.to_date("block_time")).where(F.col("day") >= start)
-    once = load.latest(inside, load.TRANSFER_KEY, ["block_time"]).select(*stored.columns)
+    whole = [F.struct(*sorted(c for c in stored.columns if c not in load.TRANSFER_KEY))]
+    placed = [load.file_order(F.col("path")), F.col("path"), F.col("line")] if {"path", "line"} <= set(fetched.columns) else []
+    once = load.latest(inside, load.TRANSFER_KEY, [*placed, *whole]).select(*stored.columns)
     load.write_days(store.spark, once, store.path("token_transfers_raw"), days)
     return days

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from tidewatch.plans import detector_sql
+
 MARKET = """SELECT {entity} AS coin_id, CAST({date} AS DATE) AS date,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) AS price,
   20 * CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS market_cap,
@@ -23,6 +25,16 @@ QUALITY = """SELECT *, CAST(date_diff('day', first_date, last_date) + 1 - days A
     count(*) FILTER (volume_glitch) AS volume_glitch_days FROM {of} GROUP BY coin_id)"""
 RETURNS = """SELECT date, median(log_return) AS market_return FROM {of}
   WHERE log_return IS NOT NULL AND NOT extreme_move AND coalesce(missing_days_before, 0) = 0 GROUP BY date"""
+SIZED = "SELECT coin_id, count(*) AS n FROM {of} GROUP BY coin_id HAVING count(*) > 41"
+SITES = """SELECT f.coin_id, f.date, p.type, p.sign FROM (SELECT coin_id, date, row_number() OVER (PARTITION BY coin_id ORDER BY date) - 1 AS place FROM {of}) f
+  JOIN (SELECT coin_id, 40 + h_row % (n - 40) AS place, ['price_spike', 'volume_spike', 'combo'][1 + (row_number() OVER (ORDER BY h_turn, coin_id) - 1) % 3] AS type,
+    CASE WHEN h_sign % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign
+    FROM (SELECT *, CAST('0x' || substr(md5('2026|row|' || coin_id), 1, 7) AS BIGINT) AS h_row,
+      CAST('0x' || substr(md5('2026|turn|' || coin_id), 1, 7) AS BIGINT) AS h_turn,
+      CAST('0x' || substr(md5('2026|sign|' || coin_id), 1, 7) AS BIGINT) AS h_sign FROM {sized})) p USING (coin_id, place)"""
+SCALES = """SELECT *, coalesce(greatest(1.4826 * mad(log_return) OVER b, 0.005), 0.005) AS sr,
+  coalesce(greatest(1.4826 * mad(ln(1 + volume)) OVER b, 0.1), 0.1) AS sv
+  FROM {of} WINDOW b AS (PARTITION BY coin_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"""
 PAST = "(PARTITION BY {by} ORDER BY {on} RANGE BETWEEN INTERVAL {n} DAYS PRECEDING AND INTERVAL 1 DAYS PRECEDING)"
 
 
@@ -141,19 +153,52 @@ PARTS: dict[str, str] = {
     "snaps": "SELECT coin_id, date, volume, 'snapshot' AS source, 1 AS rank, CAST(date + INTERVAL 1 DAY AS DATE) AS run FROM market",
     "fixes": """SELECT coin_id, date, volume * 2 AS volume, 'reconciled' AS source, 2 AS rank, CAST(date + INTERVAL 7 DAY AS DATE) AS run
   FROM market WHERE dayofweek(date) = 1""",
-    "sized": "SELECT coin_id, count(*) AS n FROM wide_flagged GROUP BY coin_id HAVING count(*) > 41",
-    "sites": """SELECT f.coin_id, f.date, p.type, p.sign FROM (SELECT coin_id, date, row_number() OVER (PARTITION BY coin_id ORDER BY date) - 1 AS place FROM wide_flagged) f
-  JOIN (SELECT coin_id, 40 + h_row % (n - 40) AS place, ['price_spike', 'volume_spike', 'combo'][1 + (row_number() OVER (ORDER BY h_turn, coin_id) - 1) % 3] AS type,
-    CASE WHEN h_sign % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign
-    FROM (SELECT *, CAST('0x' || substr(md5('2026|row|' || coin_id), 1, 7) AS BIGINT) AS h_row,
-      CAST('0x' || substr(md5('2026|turn|' || coin_id), 1, 7) AS BIGINT) AS h_turn,
-      CAST('0x' || substr(md5('2026|sign|' || coin_id), 1, 7) AS BIGINT) AS h_sign FROM sized)) p USING (coin_id, place)""",
-    "scales": """SELECT *, coalesce(greatest(1.4826 * mad(log_return) OVER b, 0.005), 0.005) AS sr,
-  coalesce(greatest(1.4826 * mad(ln(1 + volume)) OVER b, 0.1), 0.1) AS sv
-  FROM wide_flagged WINDOW b AS (PARTITION BY coin_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
+    "sized": SIZED.format(of="wide_flagged"),
+    "sites": SITES.format(of="wide_flagged", sized="sized"),
+    "scales": SCALES.format(of="wide_flagged"),
 }
 
 
+ROBUST_ROWS = (
+    "SELECT *, "
+    + ", ".join(f"{_rz(x, floor)} AS {n}" for n, x, floor in zip(ROBUST, ("log_return", "lv", "lt", "residual_return"), (0.005, 0.1, 0.1, 0.005), strict=True))
+    + """ FROM (SELECT *, ln(1 + volume) AS lv, CASE WHEN market_cap > 0 AND volume > 0 THEN ln(volume / market_cap) END AS lt FROM {of}) WINDOW w AS """
+    + PAST.format(by="coin_id", on="date", n=30)
+)
+MODELLED = (
+    "SELECT * REPLACE (" + ", ".join(f"round(coalesce({c}, 0.0), 6) AS {c}" for c in ROBUST)
+    + ") FROM {of} WHERE rz_return IS NOT NULL AND rz_volume IS NOT NULL AND rz_residual IS NOT NULL"
+)
+INJECTED = """SELECT coin_id, date, extreme_move, log_return + shift AS log_return, residual_return + shift AS residual_return,
+  market_cap * exp(sum(shift) OVER (PARTITION BY coin_id ORDER BY date ROWS UNBOUNDED PRECEDING)) AS market_cap,
+  CASE WHEN swell = 0 THEN volume ELSE volume * exp(swell) END AS volume
+  FROM (SELECT f.*, coalesce(t.sign * {strength} * sr * CASE t.type WHEN 'price_spike' THEN 1.0 WHEN 'combo' THEN 0.5 END, 0.0) AS shift,
+    coalesce(CASE t.type WHEN 'volume_spike' THEN {strength} * sv WHEN 'combo' THEN -0.5 * {strength} * sv END, 0.0) AS swell
+    FROM feature_scales f LEFT JOIN feature_sites t USING (coin_id, date))"""
+STRENGTHS = (3.0, 6.0, 12.0, 24.0)
+METHODS = ("zscore", "iforest", "lof")
+PARTS |= {
+    "fixed": MODELLED.format(of="robust"),
+    "token_fixed": "SELECT * REPLACE (" + ", ".join(f"round(coalesce({c}, 0), 6) AS {c}" for c in USED) + ") FROM token_features WHERE transfers_z IS NOT NULL",
+    **detector_sql.scored("coin", "fixed", ("coin_id", "date"), ROBUST, neighbors=20, budget=0.01),
+    **detector_sql.scored("tok", "token_fixed", ("token", "day"), USED, neighbors=10, budget=0.05),
+    "typed": """SELECT *, CASE WHEN abs(rz_return) > 3 AND abs(rz_volume) > 3 THEN 'price_and_vol' WHEN abs(rz_return) > 3 THEN 'price_shock'
+  WHEN abs(rz_volume) > 3 THEN 'volume_only' WHEN greatest(abs(rz_turnover), abs(rz_residual)) > 3 THEN 'other_feature' ELSE 'multivariate' END AS type FROM coin_scored""",
+    "daily_shares": "SELECT date, " + ", ".join(f"avg(CAST({m}_flag AS DOUBLE)) AS {m}" for m in METHODS) + " FROM coin_scored GROUP BY date",
+    "still": "SELECT * FROM market UNION ALL SELECT * REPLACE ('PEG' AS coin_id, 1 + (day(date) % 3) * 0.0005::DOUBLE AS price) FROM market WHERE coin_id = 'R'",
+    "still_flagged": FLAGGED.format(of="still"),
+    "still_verdict": QUALITY.format(of="still_flagged"),
+    "still_clean": "SELECT * FROM still_flagged WHERE coin_id IN (SELECT coin_id FROM still_verdict WHERE status = 'ok') AND NOT volume_glitch",
+    "feature_sized": SIZED.format(of="features"),
+    "feature_sites": SITES.format(of="features", sized="feature_sized"),
+    "feature_scales": SCALES.format(of="features"),
+}
+for _s in STRENGTHS:
+    _p = f"inj{_s:.0f}"
+    PARTS |= {f"{_p}_rows": INJECTED.format(strength=_s), f"{_p}_robust": ROBUST_ROWS.format(of=f"{_p}_rows"), f"{_p}_fixed": MODELLED.format(of=f"{_p}_robust")}
+    PARTS |= detector_sql.scored(_p, f"{_p}_fixed", ("coin_id", "date"), ROBUST, neighbors=20, budget=0.01)
+
+
 def with_parts(final: str) -> str:
     """The statement with the parts it names, in order of need."""
     order: list[str] = []
@@ -207,6 +252,107 @@ def _lof_tokens() -> str:
     return with_parts("SELECT 1 FROM token_features").rsplit("\n", 1)[0] + tail
 
 
+def _mix() -> str:
+    kinds = ", ".join(f"round(avg(CAST(type = '{k}' AS DOUBLE)), 6) AS {k}" for k in ("volume_only", "price_and_vol", "price_shock", "other_feature", "multivariate"))
+    quiet = "greatest(" + ", ".join(f"abs({c})" for c in ROBUST) + ") < 1.0"
+    return " UNION ALL ".join(
+        f"SELECT '{m}' AS method, count(*) AS flags, count(*) FILTER (votes = 1) AS alone, round(avg(CAST({quiet} AS DOUBLE)), 6) AS calm_share, {kinds} FROM typed WHERE {m}_flag HAVING count(*) > 0"
+        for m in METHODS
+    )
+
+
+def _agreement() -> str:
+    cell = "SELECT '{a}' AS a, '{b}' AS b, round(CASE WHEN count(*) FILTER ({a}_flag OR {b}_flag) = 0 THEN 1.0 ELSE count(*) FILTER ({a}_flag AND {b}_flag) / count(*) FILTER ({a}_flag OR {b}_flag) END, 6) AS jaccard FROM coin_scored"
+    return " UNION ALL ".join(cell.format(a=a, b=b) for a in METHODS for b in METHODS)
+
+
+def _recall() -> str:
+    shares = ", ".join(f"round(avg(CAST({m}_flag AS DOUBLE)), 6) AS {m}" for m in METHODS)
+    return " UNION ALL ".join(
+        f"SELECT coalesce(type, 'all') AS type, count(*) AS sites, {shares}, round(avg(CAST(votes >= 2 AS DOUBLE)), 6) AS consensus_2plus, CAST({s} AS DOUBLE) AS strength"
+        f" FROM feature_sites JOIN inj{s:.0f}_scored USING (coin_id, date) GROUP BY ROLLUP (type) HAVING count(*) > 0"
+        for s in STRENGTHS
+    )
+
+
+def _precision() -> str:
+    def one(s: float) -> str:
+        of = f"inj{s:.0f}_scored"
+        ranks = ", ".join(f"row_number() OVER (ORDER BY {m}_score DESC, coin_id, date) AS n_{m}" for m in METHODS)
+        shares = ", ".join(f"round(count(*) FILTER (n_{m} <= k AND site) / count(*) FILTER (n_{m} <= k), 6) AS {m}" for m in METHODS)
+        marked = f"SELECT {ranks}, coalesce(t.coin_id IS NOT NULL, false) AS site, greatest(1, count(t.coin_id) OVER ()) AS k FROM {of} LEFT JOIN feature_sites t USING (coin_id, date)"
+        return f"SELECT {shares}, CAST({s} AS DOUBLE) AS strength FROM ({marked})"
+
+    return " UNION ALL ".join(map(one, STRENGTHS))
+
+
+def _scores(of: str, kind: str, entity: str, date: str) -> str:
+    numbers = ", ".join(f"{m}_score" for m in METHODS)
+    return f"SELECT '{kind}' AS entity_type, {entity} AS entity, {date} AS date, {numbers}, " + ", ".join(f"{m}_flag" for m in METHODS) + f", votes FROM {of}"
+
+
+_VOTES = """SELECT count(*) AS rows, count(DISTINCT coin_id) AS coins, count(*) FILTER (zscore_flag) AS flags, count(*) FILTER (votes >= 2) AS votes2,
+  count(*) FILTER (votes = 3) AS votes3, min(zscore_score) FILTER (zscore_flag) AS cutoff FROM coin_scored"""
+
+
+def _figures(sections: dict[str, tuple[str, str, str]], digits: int) -> str:
+    """section -> (SQL, item columns, number columns)."""
+    def rows(name: str, sql: str, item: str, numbers: str) -> str:
+        named = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in item.split()) + ")" if item else "''"
+        return " UNION ALL ".join(
+            f"SELECT '{name}' AS section, {named} AS item, '{c}' AS field, round(CAST({c} AS DOUBLE), {digits}) AS value FROM ({sql})" for c in numbers.split()
+        )
+
+    return " UNION ALL ".join(rows(name, *of) for name, of in sections.items())
+
+
+_STATUS = "SELECT status, count(*) AS coins, CAST(sum(days) AS BIGINT) AS days FROM verdict GROUP BY status"
+_SHARED = {
+    "status": (_STATUS, "status", "coins days"),
+    "votes": (_VOTES, "", "rows coins flags votes2 votes3 cutoff"),
+}
+
+
+def _dashboard() -> str:
+    kinds = "volume_only price_and_vol price_shock other_feature multivariate"
+    daily = "transfers unique_addresses new_addresses rt_share top10_sender_share large_transfers hub_share"
+    sections = _SHARED | {
+        "glitches": (_SQL["glitches_removed"], "", "days coins"),
+        "turnover": (_SQL["turnover_summary"], "times", "days coins"),
+        "turnover_days": (
+            "SELECT coin_id, date, volume, market_cap, turnover, exp(log_return) - 1 AS move FROM odd WHERE volume > 0.0525 * market_cap ORDER BY volume / market_cap DESC, coin_id, date LIMIT 40",
+            "coin_id date", "volume market_cap turnover move",
+        ),
+        "agreement": (_agreement(), "a b", "jaccard"),
+        "mix": (_mix(), "method", "flags alone calm_share " + kinds),
+        "strongest": (_SQL["strongest_agreed"], "coin_id date type", "votes volume"),
+        "wash": ("SELECT coin_id, date, volume FROM typed WHERE votes >= 2 AND type = 'volume_only' AND rz_volume > 0 ORDER BY volume DESC, coin_id, date LIMIT 40", "coin_id date", "volume"),
+        "tokens": (_SQL["token_totals"], "token", "transfers addresses"),
+        "activity": ("SELECT * FROM token_features", "token day", daily),
+        "series": ("SELECT coin_id, date, CAST(format('{:.11e}', market_cap) AS DOUBLE) AS market_cap, CAST(format('{:.11e}', volume) AS DOUBLE) AS volume FROM market", "coin_id date", "market_cap volume"),
+    }
+    return _figures(sections, 6)
+
+
+def _insights() -> str:
+    sections = _SHARED | {
+        "data": ("SELECT count(DISTINCT coin_id) AS coins, count(*) AS rows FROM market", "", "coins rows"),
+        "transfers": (_SQL["token_totals"], "token", "transfers addresses"),
+        "glitches": (_SQL["glitches_removed"], "", "days coins"),
+        "tails": ("SELECT count(*) FILTER (abs(return_z) > 3) / count(*) AS share, share / 0.0027 AS times_normal FROM features WHERE return_z IS NOT NULL", "", "share times_normal"),
+        "median_turnover": ("SELECT median(volume / market_cap) AS median_turnover FROM clean WHERE market_cap > 0", "", "median_turnover"),
+        "turnover": (_SQL["turnover_summary"], "times", "days coins"),
+        "leaders": (_SQL["turnover_leaders"], "coin_id", "days peak"),
+        "pairs": (_SQL["contract_share"], "token", "pairs contract_pairs transfers contract_transfers"),
+        "round_trips": ("SELECT token, avg(rt_share) AS rt_share, median(transfers) AS median_transfers FROM token_features GROUP BY token", "token", "rt_share median_transfers"),
+        "functions": (_SQL["function_shares"], "function", "share"),
+        "agreement": (f"SELECT * FROM ({_agreement()}) WHERE a < b", "a b", "jaccard"),
+        "recall": (f"SELECT * FROM ({_recall()}) WHERE type IN ('all', 'combo')", "type strength", "sites zscore iforest lof consensus_2plus"),
+        "events": (_SQL["event_hits"], "event", "rows zscore iforest lof"),
+    }
+    return _figures(sections, 5)
+
+
 def _r(columns: str, digits: int) -> str:
     return ", ".join(f"round({c.strip()}, {digits}) AS {c.strip()}" for c in columns.split(","))
 
@@ -225,7 +371,7 @@ _SQL: dict[str, str] = {
     + ", 5) AS z FROM wide_returns WINDOW w AS "
     + PAST.format(by="1", on="date", n=30),
     "trailing_scales": "SELECT coin_id, date, round(sr, 6) AS scale_return, round(sv, 6) AS scale_volume FROM scales",
-    "pegged_coins": "SELECT coin_id, round(typical_move, 6) AS typical_move FROM pegs WHERE typical_move < 1.0",
+    "pegged_coins": "SELECT coin_id, round(median(abs(log_return)), 9) AS typical_move FROM still_clean GROUP BY coin_id HAVING median(abs(log_return)) < 0.002",
     "turnover_summary": " UNION ALL ".join(
         f"SELECT CAST({x} AS DOUBLE) AS times, count(*) AS days, count(DISTINCT coin_id) AS coins FROM odd WHERE volume > {x} * market_cap" for x in _TIMES
     ),
@@ -329,20 +475,49 @@ _SQL: dict[str, str] = {
   round(ln(market_cap) + sum(coalesce(shift, 0)) OVER (PARTITION BY coin_id ORDER BY date ROWS UNBOUNDED PRECEDING), 5) AS lc
   FROM (SELECT s.*, t.sign * 12.0 * sr * CASE t.type WHEN 'price_spike' THEN 1.0 WHEN 'combo' THEN 0.5 END AS shift,
     CASE t.type WHEN 'volume_spike' THEN 12.0 * sv WHEN 'combo' THEN -6.0 * sv END AS swell FROM scales s LEFT JOIN sites t USING (coin_id, date))""",
-    "kept_moves": "SELECT count(*) AS kept, count(*) FILTER (zscore_flag) AS zscore FROM zscored WHERE extreme_move",
-    "market_wide_days": """SELECT date, round(s, 6) AS zscore, round((SELECT median(s) FROM (SELECT avg(CAST(zscore_flag AS INTEGER)) AS s FROM zscored GROUP BY date)), 6) AS usual_zscore
-  FROM (SELECT date, avg(CAST(zscore_flag AS INTEGER)) AS s FROM zscored GROUP BY date) WHERE date IN (DATE '1996-06-01', DATE '1999-03-15')""",
+    "kept_moves": "SELECT count(*) AS kept, " + ", ".join(f"count(*) FILTER ({m}_flag) AS {m}" for m in METHODS) + " FROM coin_scored WHERE extreme_move",
+    "market_wide_days": "SELECT date, " + ", ".join(f"round({m}, 6) AS {m}, round((SELECT median({m}) FROM daily_shares), 6) AS usual_{m}" for m in METHODS)
+    + " FROM daily_shares WHERE date IN (DATE '1996-06-01', DATE '1999-03-15')",
     "history_end": "SELECT max(date) AS history_end FROM market WHERE coin_id <> 'N'",
     "load_checks": "SELECT 'market' AS \"check\", true AS passed",
+    "load_verification": """SELECT name AS "check", true AS passed, n || ' / ' || n AS detail FROM (
+  SELECT 'coins' AS name, CAST(count(DISTINCT coin_id) AS VARCHAR) AS n FROM market UNION ALL SELECT 'market rows', CAST(count(*) AS VARCHAR) FROM market
+  UNION ALL SELECT 'market keys', CAST(count(*) AS VARCHAR) FROM market
+  UNION ALL SELECT 'T' || (event_id % 3) || k, CAST(count(*) AS VARCHAR) FROM events CROSS JOIN (VALUES (' rows'), (' keys'), (' rollup')) v(k) GROUP BY ALL
+  UNION ALL SELECT 'T' || (event_id % 3) || ' values', CAST(sum(CAST(user_id AS HUGEINT) * 100) AS VARCHAR) || ' 0 0 0 0' FROM events GROUP BY ALL)""",
     "transfer_coverage": "SELECT token, date_diff('second', max(block_time), TIMESTAMP '2024-01-31 04:00:00') > 21600 AS late FROM transfers GROUP BY token",
     "event_rows": """SELECT coin_id, date, round(r, 6) AS log_return, round(r - market_return, 6) AS residual_return
   FROM (SELECT coin_id, date, CASE WHEN missing_days_before = 0 THEN log_return END AS r FROM wide_flagged) LEFT JOIN wide_returns USING (date)""",
-    "event_hits": """SELECT event, e.coin_id, event_date, count(z.date) AS rows, coalesce(bool_or(zscore_flag), false) AS zscore,
-  round(max(abs(rz_return)), 5) AS max_abs_rz_return, round(max(rz_volume), 5) AS max_rz_volume
+    "lof_market": "SELECT coin_id, date, round(lof_score, 5) AS lof_score FROM coin_lof",
+    "iforest_market": "SELECT coin_id, date, iforest_score FROM coin_iforest",
+    "anomaly_scores": _scores("coin_scored", "coin", "coin_id", "date") + " UNION ALL " + _scores("tok_scored", "token", "token", "day"),
+    "detector_agreement": _agreement(),
+    "method_mix": _mix(),
+    "wash_candidates": "SELECT coin_id, date, rz_volume, votes FROM inj24_scored WHERE votes >= 2 AND abs(rz_return) <= 3 AND rz_volume > 3",
+    "strongest_agreed": "SELECT coin_id, date, type, votes, volume FROM typed WHERE votes >= 2 ORDER BY votes DESC, volume DESC, coin_id, date LIMIT 400",
+    "alert_budget": "SELECT 'alert_budget' AS \"check\", " + " AND ".join(f"count(*) FILTER ({m}_flag) = greatest(1, round_even(count(*) * 0.01, 0))" for m in METHODS)
+    + " AS passed, concat_ws(' ', " + ", ".join(f"'{m}=' || count(*) FILTER ({m}_flag)" for m in METHODS) + ") AS detail FROM coin_scored",
+    "vote_consensus": "SELECT votes, count(*) AS rows FROM coin_scored GROUP BY votes",
+    "flagged_per_day": "SELECT " + ", ".join(f"round(median({m}), 6) AS {m}" for m in METHODS) + " FROM daily_shares",
+    "injection_recall": _recall(),
+    "precision_at_sites": _precision(),
+    "event_hits": """SELECT event, e.coin_id, event_date, count(z.date) AS rows, """
+    + ", ".join(f"coalesce(bool_or({m}_flag), false) AS {m}" for m in METHODS)
+    + """, max(abs(rz_return)) AS max_abs_rz_return, max(rz_volume) AS max_rz_volume
   FROM (VALUES ('first', 'A', DATE '1996-06-01'), ('second', 'N', DATE '1999-03-15'), ('none', 'Z', DATE '1999-03-15')) e(event, coin_id, event_date)
-  LEFT JOIN zscored z ON z.coin_id = e.coin_id AND abs(date_diff('day', event_date, z.date)) <= 3 GROUP BY ALL""",
+  LEFT JOIN coin_scored z ON z.coin_id = e.coin_id AND abs(date_diff('day', event_date, z.date)) <= 3 GROUP BY ALL""",
+    "vote_totals": _VOTES,
+    "report_totals": """SELECT *, round(share, 6) AS fat_tail_share, round(m, 6) AS median_turnover FROM (SELECT count(DISTINCT coin_id) AS coins, count(*) AS market_rows FROM market),
+  (SELECT count(*) FILTER (status = 'ok') AS clean_coins FROM verdict),
+  (SELECT rows AS modelled_rows, coins AS modelled_coins, flags AS flags_per_method, votes2, votes3, cutoff FROM ("""
+    + _VOTES
+    + """)), (SELECT count(*) AS transfers FROM transfers), (SELECT count(DISTINCT address) AS addresses FROM sides),
+  (SELECT count(*) AS labelled, count(*) FILTER (is_contract) AS contracts FROM labels40),
+  (SELECT count(*) FILTER (abs(return_z) > 3) / count(*) AS share FROM features WHERE return_z IS NOT NULL),
+  (SELECT median(volume / market_cap) AS m FROM clean WHERE market_cap > 0)""",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_parts(sql) for name, sql in _SQL.items()} | {"lof_tokens": _lof_tokens()}
+    more = {"dashboard": _dashboard(), "insights": _insights()}
+    return {name: with_parts(sql) for name, sql in (_SQL | more).items()} | {"lof_tokens": _lof_tokens()}

@@ -116,7 +116,10 @@ def trailing_scales(s, d):
 
 @query
 def pegged_coins(s, d):
-    return rounded(quality.pegged(_clean(s, d), below=1.0))
+    """With a planted entity that hardly moves beside the others."""
+    raw = views.market_daily(s, d)
+    still = raw.where("coin_id = 'R'").withColumns({"coin_id": F.lit("PEG"), "price": 1 + (F.dayofmonth("date") % 3) * 0.0005})
+    return rounded(quality.pegged(quality.clean(quality.flag_daily(raw.unionByName(still)))), 9)
 
 
 @query
@@ -217,38 +220,56 @@ def lof_tokens(s, d):
 
 @query
 def lof_market(s, d):
-    rows = settle(scoring.model_rows(_robust(s, d)), "model-rows")
-    return detectors.lof_score(rows, robust.FEATURES).select("coin_id", "date", "lof_score")
+    return rounded(_scored(s, d).select("coin_id", "date", "lof_score"), 5)
 
 
 @query
 def iforest_market(s, d):
-    rows = settle(scoring.model_rows(_robust(s, d)), "model-rows")
-    return detectors.isolation_forest_score(rows, ["coin_id", "date"], robust.FEATURES).select("coin_id", "date", "iforest_score")
+    return _scored(s, d).select("coin_id", "date", "iforest_score")
 
 
 @query
 def anomaly_scores(s, d):
-    return scoring.anomaly_scores(scoring.score_market(_features(s, d)), scoring.score_tokens(_token_features(s, d)))
+    return scoring.anomaly_scores(_scored(s, d), scoring.score_tokens(_token_features(s, d)))
+
+
+_done: dict[tuple[str, str, str], object] = {}
+
+
+def _once(s, d, name, make):
+    """What several reports need, made once for a session and a folder of tables."""
+    key = (s.sparkContext.applicationId, d, name)
+    if key not in _done:
+        _done[key] = make()
+    return _done[key]
 
 
 def _scored(s, d):
-    return settle(compare.with_type(scoring.score_market(_features(s, d))), "typed")
+    """Scored and typed market rows."""
+    return _once(s, d, "typed", lambda: settle(compare.with_type(scoring.score_market(_features(s, d))), "typed"))
+
+
+def _planted(s, d):
+    """Sites, and the market rows scored with anomalies of every strength."""
+    rows = market.market_features(_flagged(s, d))
+    return _once(s, d, "planted", lambda: evaluation.planted(rows, lambda x: settle(scoring.score_market(x), "planted")))
 
 
 @query
 def detector_agreement(s, d):
-    return compare.agreement(_scored(s, d))
+    return rounded(compare.agreement(_scored(s, d)))
 
 
 @query
 def method_mix(s, d):
-    return compare.method_mix(_scored(s, d))
+    return rounded(compare.method_mix(_scored(s, d)))
 
 
 @query
 def wash_candidates(s, d):
-    return compare.wash_candidates(_scored(s, d)).select("coin_id", "date", "volume", "rz_volume", "votes")
+    """With planted anomalies of the greatest strength: undisturbed rows hold none."""
+    _, scored = _planted(s, d)
+    return compare.wash_candidates(compare.with_type(scored[max(scored)])).select("coin_id", "date", "rz_volume", "votes")
 
 
 @query
@@ -277,12 +298,35 @@ def dashboard(s, d):
     raw = views.market_daily(s, d)
     flagged = quality.flag_daily(raw)
     verdict = quality.verdicts(flagged)
-    return reports.dashboard(raw, flagged, verdict, quality.clean(flagged, verdict), _scored(s, d), views.transfers(s, d))
+    clean = quality.clean(flagged, verdict)
+    return reports.figures(reports.dashboard(raw, flagged, verdict, clean, _scored(s, d), views.transfers(s, d), _token_features(s, d), times=TIMES, digits=12, values=("market_cap", "volume")))
+
+
+@query
+def insights(s, d):
+    raw, moved = views.market_daily(s, d), views.transfers(s, d)
+    flagged = quality.flag_daily(raw)
+    verdict = quality.verdicts(flagged)
+    clean = quality.clean(flagged, verdict)
+    sections = reports.insights(
+        raw, flagged, verdict, clean, _features(s, d), _scored(s, d), moved, views.address_labels(s), _token_features(s, d),
+        injection_recall(s, d), _hits(s, d), token="view", times=TIMES,
+    )
+    return reports.figures(sections, digits=5)
+
+
+@query
+def report_totals(s, d):
+    flagged = _flagged(s, d)
+    verdict = quality.verdicts(flagged)
+    clean = quality.clean(flagged, verdict)
+    out = reports.totals(views.market_daily(s, d), verdict, clean, _features(s, d), _scored(s, d), views.transfers(s, d), views.address_labels(s))
+    return rounded(out)
 
 
 @query
 def kept_moves(s, d):
-    return compare.kept_moves(_zscored(s, d), ["zscore"])
+    return compare.kept_moves(_scored(s, d))
 
 
 @query
@@ -292,7 +336,7 @@ def vote_consensus(s, d):
 
 @query
 def market_wide_days(s, d):
-    return rounded(evaluation.market_wide(_zscored(s, d), ["1996-06-01", "1999-03-15"], methods=["zscore"]))
+    return rounded(evaluation.market_wide(_scored(s, d), ["1996-06-01", "1999-03-15"]))
 
 
 # transfers
@@ -454,6 +498,18 @@ def load_checks(s, d):
     return contracts.load_check(raw, raw.repartition(5, "date"), ["coin_id", "date"], raw.columns, "market").select("check", "passed")
 
 
+@query
+def load_verification(s, d):
+    """What files hold, parsed again, against the tables stored from them."""
+    records = parse_transfers(s, d).withColumn("token", F.concat(F.lit("T"), (F.col("block_number") % 3).cast("string")))
+    records = records.withColumn("tx_seq", F.lit(0))
+    raw = views.market_daily(s, d)
+    coins = _coins(raw)
+    stored = settle(records, "stored-transfers")
+    rolled = stored.groupBy("token", F.lit("all").alias("day")).agg(F.count("*").alias("transfers"))
+    return contracts.verify_load((coins, settle(coins, "stored-coins")), (raw, settle(raw, "stored-market")), (records, stored), rolled)
+
+
 # sources
 
 
@@ -595,24 +651,25 @@ def event_rows(s, d):
     return rounded(evaluation.event_rows(raw, returns).drop("volume", "market_cap"))
 
 
+def _hits(s, d):
+    return evaluation.window_hits(_scored(s, d), evaluation.events_frame(s, EVENTS), days=3)
+
+
 @query
 def event_hits(s, d):
-    events = evaluation.events_frame(s, EVENTS)
-    return rounded(evaluation.window_hits(_zscored(s, d), events, days=3, methods=["zscore"]), 5)
+    return _hits(s, d)
 
 
 @query
 def injection_recall(s, d):
-    rows = market.market_features(_flagged(s, d))
-    return evaluation.injection_sweep(rows, scoring.score_market)
+    return rounded(evaluation.sweep(evaluation.recall, *_planted(s, d)))
 
 
 @query
 def precision_at_sites(s, d):
-    rows = market.market_features(_flagged(s, d))
-    return evaluation.precision_sweep(rows, scoring.score_market)
+    return rounded(evaluation.sweep(evaluation.precision_at_k, *_planted(s, d)))
 
 
 @query
 def flagged_per_day(s, d):
-    return reports.flagged_per_day(_scored(s, d))
+    return rounded(reports.flagged_per_day(_scored(s, d)))

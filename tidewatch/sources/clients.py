@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 import threading
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
@@ -16,12 +17,11 @@ BATCH, WORKERS = 5, 6  # addresses a request, requests at a time
 Get = Callable[[str], object]
 
 
-def paced(limiter: shell.RateLimiter) -> Get:
-    """get_json that waits its turn."""
+def paced(limiter: shell.RateLimiter, *, refused: float = 60.0, **more) -> Get:
+    """get_json of which every try waits its turn; a 429 rests for a minute."""
 
     def get(url: str):
-        limiter.wait()
-        return shell.get_json(url)
+        return shell.get_json(url, before=limiter.wait, refused=refused, **more)
 
     return get
 
@@ -88,6 +88,33 @@ class ChainClient:
         )
 
 
+    def whole_range(self, contract: str, first: int, last: int, *, size: int = shell.PAGE) -> list[dict]:
+        """All transfers of the blocks, numbered within their transactions."""
+        ask = lambda a, b, page: self.transfers(contract, a, b, page, size=size)
+        return [r for batch, _ in shell.complete_blocks(ask, first, last, page_size=size) for r in shell.numbered(batch)]
+
+
+def contracts(client: MarketClient, tracked: dict[str, str], folder: Path, *, chain: str = "ethereum") -> dict[str, dict]:
+    """Address and decimals of each tracked token's contract, cached."""
+
+    def ask() -> dict[str, dict]:
+        out = {}
+        for symbol, coin in tracked.items():
+            detail = client.detail(coin)
+            decimals = detail.get("detail_platforms", {}).get(chain, {}).get("decimal_place")
+            out[symbol] = {"coin_id": coin, "contract": detail["platforms"][chain].lower(), "decimals": decimals}
+        return out
+
+    return shell.once(folder / "contracts.json", ask)
+
+
+def block_range(client: ChainClient, days: int, folder: Path, *, now: Callable[[], float] = time.time) -> tuple[int, int]:
+    """First and last block of the last days, fixed at the first call."""
+    ask = lambda: {"days": days, "start_block": client.block_at(int(now()) - days * 86_400), "end_block": client.latest_block()}
+    held = shell.once(folder / "range.json", ask)
+    return held["start_block"], held["end_block"]
+
+
 def label(client: ChainClient, addresses: Iterable[str], cache: Path, *, workers: int = WORKERS) -> int:
     """Appends a line (address, is_contract, record) for each address not in the
     cache yet; returns how many were added."""

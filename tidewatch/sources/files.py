@@ -17,14 +17,22 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_document(sections: DataFrame, path: str) -> dict[str, int]:
-    """One compact JSON object from (section, body) rows, written beside its
-    place and moved, so that a reader never sees half of it. A report is small:
-    its sections are limited where they are made."""
-    held = {r["section"]: json.loads(r["body"]) for r in sections.toLocalIterator()}
+def write_document(rows: DataFrame, path: str) -> dict[str, int]:
+    """One compact JSON object from (section, item, body) rows, section by
+    section and item by item, written as it is read and moved into place, so
+    that a reader never sees half of it and no more than a row is held."""
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_suffix(".part")
-    part.write_text(json.dumps(held, separators=(",", ":"), default=str))
+    part, last, count = target.with_suffix(".part"), None, 0
+    with part.open("w", encoding="utf-8") as f:
+        f.write("{")
+        for r in rows.orderBy("section", "item").toLocalIterator():
+            if r["section"] != last:
+                f.write(("}," if count else "") + json.dumps(r["section"]) + ":{")
+                last, count = r["section"], count + 1
+            else:
+                f.write(",")
+            f.write(json.dumps(r["item"]) + ":" + r["body"])
+        f.write("}}" if count else "}")
     part.replace(target)
-    return {"sections": len(held), "bytes": target.stat().st_size}
+    return {"sections": count, "bytes": target.stat().st_size}

@@ -45,13 +45,19 @@ def http_get(url: str, headers: dict[str, str] | None = None, timeout: float = 3
         return e.code, e.read().decode(errors="replace")
 
 
-def get_json(url: str, *, get: Callable[[str], tuple[int, str]] = http_get, tries: int = 6, sleep: Callable[[float], None] = time.sleep):
-    """The parsed answer. Network errors, 429, 5xx and answers that are no JSON
-    are tried again with growing pauses; other refusals raise at once."""
-    why = ""
+def get_json(
+    url: str, *, get: Callable[[str], tuple[int, str]] = http_get, tries: int = 6, sleep: Callable[[float], None] = time.sleep,
+    before: Callable[[], None] = lambda: None, refused: float = 30.0,
+):
+    """The parsed answer. Network errors, 5xx and answers that are no JSON are
+    tried again with growing pauses, 429 after `refused` seconds; other refusals
+    raise at once. before is called ahead of every try, as a limiter needs."""
+    why, pause = "", 0.0
     for attempt in range(tries):
         if attempt:
-            sleep(min(2.0**attempt, 30))
+            sleep(pause)
+        before()
+        pause = min(2.0 ** (attempt + 1), 30)
         try:
             status, body = get(url)
         except OSError as e:
@@ -59,6 +65,7 @@ def get_json(url: str, *, get: Callable[[str], tuple[int, str]] = http_get, trie
             continue
         if status == 429 or status >= 500:
             why = f"status {status}"
+            pause = refused if status == 429 else pause
             continue
         if status >= 400:
             raise FetchError(f"{url}: status {status}")
@@ -90,36 +97,38 @@ def complete_blocks(
     fetch: Callable[[int, int, int], list[dict]], start: int, end: int, *, page_size: int = PAGE
 ) -> Iterator[tuple[list[dict], int]]:
     """(records, next block) batches of whole blocks. fetch(first, last, page)
-    answers at most page_size records. The last block of a full answer may be
-    cut off, so it is asked for again; a block that fills an answer alone is
-    paged through. One empty answer may be a hiccup; two in a row end it."""
-    at, empty = start, 0
-    while at <= end:
-        got = fetch(at, end, 1)
-        if not got:
-            empty += 1
-            if empty == 2:
-                return
-            continue
-        empty = 0
-        if len(got) < page_size:
-            yield got, end + 1
-            at = end + 1
-            continue
-        blocks = [int(r["blockNumber"]) for r in got]
-        last = blocks[-1]
-        if blocks[0] == last:
-            page = 1
-            whole = list(got)
-            while len(got) == page_size:
-                page += 1
-                got = fetch(last, last, page)
-                whole += got
-            yield whole, last + 1
-            at = last + 1
+    answers at most page_size records, and any answer may stop short. So of an
+    answer that reaches beyond the block asked from, the last block is never
+    taken: the next question starts with it. What is then answered with that
+    block alone is the block, paged through if it fills the page. An empty answer
+    is believed when it comes twice; the range then ends with an empty batch."""
+    asked, doubted = start, False
+    while asked <= end:
+        answer = fetch(asked, end, 1)
+        if answer:
+            doubted = False
+            newest = int(answer[-1]["blockNumber"])
+            if newest > asked:
+                yield [r for r in answer if int(r["blockNumber"]) != newest], newest
+                asked = newest
+            else:
+                yield [*answer, *_further_pages(fetch, asked, page_size if len(answer) == page_size else 0)], asked + 1
+                asked += 1
+        elif doubted:
+            yield [], end + 1
+            return
         else:
-            yield [r for r, b in zip(got, blocks, strict=True) if b < last], last
-            at = last
+            doubted = True
+
+
+def _further_pages(fetch: Callable[[int, int, int], list[dict]], block: int, full: int) -> Iterator[dict]:
+    """The records of a block from its second page on, until a page is not full."""
+    page, size = 1, full
+    while full and size == full:
+        page += 1
+        more = fetch(block, block, page)
+        size = len(more)
+        yield from more
 
 
 def all_pages(fetch: Callable[[int], list], n: int) -> list:
@@ -174,12 +183,44 @@ class Checkpoint:
         part.replace(self.state)
 
 
-def pull(fetch: Callable[[int, int, int], list[dict]], checkpoint: Checkpoint, start: int, end: int, *, page_size: int = PAGE) -> int:
-    """Resumes at the checkpoint and appends whole blocks; returns rows held."""
+    def newest_block(self) -> int | None:
+        """The block of the last line that counts."""
+        rows, last = self.load()["rows"], None
+        if rows:
+            with gzip.open(self.lines, "rt") as f:
+                for _, last in zip(range(rows), f):
+                    pass
+        return None if last is None else int(json.loads(last)["blockNumber"])
+
+
+def numbered(records: Iterable[dict]) -> list[dict]:
+    """Transfer records of whole blocks, in order, with the fields that are kept
+    and txSeq, the place within their transaction."""
+    from tidewatch.sources.transfers_json import FIELDS
+
+    met: dict[str, int] = {}
+    out = []
+    for r in records:
+        met[r["hash"]] = met.get(r["hash"], -1) + 1
+        out.append({f: r.get(f) for f in FIELDS} | {"txSeq": met[r["hash"]]})
+    return out
+
+
+def pull(
+    fetch: Callable[[int, int, int], list[dict]], checkpoint: Checkpoint, start: int, end: int, *, page_size: int = PAGE,
+    recheck: bool = False, shape: Callable[[list[dict]], list[dict]] = list,
+) -> int:
+    """Resumes at the checkpoint and appends whole blocks; returns rows held.
+    recheck: go on after the last block that is stored, whatever the checkpoint
+    says, to fill a range that was once taken for finished. shape: what is done
+    to a batch, as numbered."""
     checkpoint.trim()
     at = checkpoint.load()["next"] or start
+    if recheck:
+        stored = checkpoint.newest_block()
+        at = start if stored is None else stored + 1
     for records, cursor in complete_blocks(fetch, at, end, page_size=page_size):
-        checkpoint.append(records, cursor)
+        checkpoint.append(shape(records), cursor)
     return checkpoint.load()["rows"]
 
 
@@ -200,6 +241,28 @@ def cached_fetch(wanted: Iterable[str], folder: Path, fetch: Callable[[str], obj
     return out
 
 
+def retried(job: Callable[[], object], *, more: int = 2, delay: float = 60, sleep: Callable[[float], None] = time.sleep):
+    """The job's result; a failure is tried again `more` times, each after twice
+    the pause before, and raised after the last."""
+    for attempt in range(more + 1):
+        try:
+            return job()
+        except Exception:  # noqa: BLE001
+            if attempt == more:
+                raise
+            sleep(delay * 2**attempt)
+
+
+def once(path: Path, make: Callable[[], object]):
+    """What the file holds, made and written first where there is none."""
+    if not path.exists():
+        path.parent.mkdir(parents=True, exist_ok=True)
+        part = path.with_suffix(".part")
+        part.write_text(json.dumps(make(), indent=2))
+        part.replace(path)
+    return json.loads(path.read_text())
+
+
 def statements(sql: str) -> list[str]:
     """A script's statements, without comment lines."""
     lines = [x for x in sql.splitlines() if not x.lstrip().startswith("--")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,8 +28,9 @@ def slim(records: DataFrame) -> DataFrame:
     return records.select(*[F.col(f"`{f}`") if f in records.columns else F.lit(None).cast("string").alias(f) for f in FIELDS])
 
 
-def parse_transfers(records: DataFrame, *, token: str = "token") -> DataFrame:
-    """Typed rows. value_raw keeps every digit; amount is value / 10^decimals."""
+def parse_transfers(records: DataFrame, *, token: str = "token", keep: Sequence[str] = ()) -> DataFrame:
+    """Typed rows. value_raw keeps every digit; amount is value / 10^decimals.
+    keep: further columns that come along."""
     text = lambda c: F.col(f"`{c}`").cast("string")
     number = lambda c, kind: F.coalesce(text(c).cast(kind), F.lit(0).cast(kind))
     decimals = number("tokenDecimal", "int")
@@ -47,13 +50,30 @@ def parse_transfers(records: DataFrame, *, token: str = "token") -> DataFrame:
         number("gasPrice", "decimal(20,0)").alias("gas_price"),
         F.coalesce(text("methodId"), F.lit("")).alias("method_id"),
         F.coalesce(text("functionName"), F.lit("")).alias("function_name"),
+        *keep,
     )
 
 
-def read_transfers(spark: SparkSession, path: str, token: str) -> DataFrame:
-    """JSON lines, gzip or not; every field a string until it is typed."""
+def read_transfers(spark: SparkSession, path: str, token: str, *, placed: bool = False) -> DataFrame:
+    """JSON lines, gzip or not; every field a string until it is typed. placed:
+    with the file (path) and a number that grows with its lines (line), which
+    tell fetch order."""
     schema = ", ".join(f"`{f}` string" for f in FIELDS)
-    return parse_transfers(slim(spark.read.schema(schema).json(path)).withColumn("token", F.lit(token)))
+    lines = spark.read.schema(schema).json(path)
+    if placed:
+        lines = lines.select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line"))
+    return parse_transfers(lines.withColumn("token", F.lit(token)), keep=("path", "line") if placed else ())
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """The label cache's lines as rows of address_labels."""
+    kind = "address string, is_contract boolean, record struct<contractCreator: string, contractFactory: string, blockNumber: string>"
+    lines = spark.read.schema(kind).json(path)
+    return lines.select(
+        "address", "is_contract",
+        F.coalesce("record.contractCreator", F.lit("")).alias("creator"), F.coalesce("record.contractFactory", F.lit("")).alias("factory"),
+        F.coalesce(F.col("record.blockNumber").cast("long"), F.lit(0).cast("long")).alias("created_block"),
+    )
 
 
 def label_addresses(addresses: DataFrame, creations: DataFrame) -> DataFrame:

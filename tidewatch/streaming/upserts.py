@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.load import TRANSFER_KEY, latest
+from tidewatch.operators.storage import settle
 
 
 def deduplicated(stream: DataFrame, *, time: str = "block_time", delay: str = "2 days") -> DataFrame:
@@ -41,11 +42,8 @@ def upsert_days(stream: DataFrame, path: str, checkpoint: str, *, time: str = "b
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
         merged = latest(new, ["day", *TRANSFER_KEY], ["_epoch", time]).drop("_epoch")
-        # read before it is overwritten
-        held = merged.checkpoint() if spark.sparkContext.getCheckpointDir() else merged.persist()
-        held.count()
+        held = settle(merged, "upsert")  # its sources are overwritten next
         held.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
-        held.unpersist()
 
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
