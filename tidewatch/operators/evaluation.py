@@ -84,7 +84,7 @@ def precision_at_k(scored: DataFrame, sites: DataFrame, *, methods: Sequence[str
     for m in methods:
         marked = detectors.flag_top(marked, f"{m}_score", ["coin_id", "date"], k=max(1, k), out=f"_{m}")
     site = F.coalesce("_site", F.lit(False))
-    return marked.agg(*[(F.count_if(F.col(f"_{m}") & site) / F.count_if(f"_{m}")).alias(m) for m in methods])
+    return marked.agg(*[F.try_divide(F.count_if(F.col(f"_{m}") & site), F.count_if(f"_{m}")).alias(m) for m in methods])
 
 
 def event_rows(chart: DataFrame, market_return: DataFrame) -> DataFrame:

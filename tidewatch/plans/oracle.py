@@ -279,7 +279,7 @@ def _precision() -> str:
     def one(s: float) -> str:
         of = f"inj{s:.0f}_scored"
         ranks = ", ".join(f"row_number() OVER (ORDER BY {m}_score DESC, coin_id, date) AS n_{m}" for m in METHODS)
-        shares = ", ".join(f"round(count(*) FILTER (n_{m} <= k AND site) / count(*) FILTER (n_{m} <= k), 6) AS {m}" for m in METHODS)
+        shares = ", ".join(f"round(count(*) FILTER (n_{m} <= k AND site) / nullif(count(*) FILTER (n_{m} <= k), 0), 6) AS {m}" for m in METHODS)
         marked = f"SELECT {ranks}, coalesce(t.coin_id IS NOT NULL, false) AS site, greatest(1, count(t.coin_id) OVER ()) AS k FROM {of} LEFT JOIN feature_sites t USING (coin_id, date)"
         return f"SELECT {shares}, CAST({s} AS DOUBLE) AS strength FROM ({marked})"
 
