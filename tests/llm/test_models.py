@@ -81,6 +81,17 @@ def test_scores_equal_the_recursion(spark, depth, roots, block_bytes):
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 3)) for r in got) == want
 
 
+def test_a_very_long_text_is_scored_whole(spark):
+    """Longer than a block, and beside short ones."""
+    words = [f"w{i % 97}x{i % 13}" for i in range(6_000)]
+    long = " ".join(words)
+    df = spark.createDataFrame([(2, long), (3, long[:2_000]), (4, "w1x1"), (5, long)], "doc_id long, text string").repartition(3)
+    small = {r["doc_id"]: r for r in ctw.score(df, block_bytes=1_000).collect()}
+    whole = {r["doc_id"]: r for r in ctw.score(df).collect()}
+    assert {i: round(r["score"], 2) for i, r in small.items()} == {i: round(r["score"], 2) for i, r in whole.items()}
+    assert whole[5]["n_tokens"] == 6_001 and whole[5]["n_bytes"] == len(long) + 1
+
+
 def test_nothing_to_learn_from(spark):
     ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
     df = spark.createDataFrame([(i, "ab") for i in ids], "doc_id long, text string")

@@ -17,12 +17,16 @@ tree grows with the corpus, and is never held in one place.
 1. Texts are normalised and dealt to blocks of a bounded number of bytes in the
    order they are read. 2. Each block sends its distinct strings, with training
    counts, to buckets named by the last three bytes of context. 3. A bucket adds
-   up the blocks' counts and weights the subtrees below depth three; one small
-   table joins the subtrees' roots (their number is bounded by the alphabet) to
-   the top of the tree. 4. Buckets answer each block with the log probabilities
+   up the blocks' counts and weights the subtrees below depth three; their roots
+   (whose number is bounded by the alphabet) are joined to the top of the tree
+   byte by byte of the newest context, 256 tasks, and only the nodes of depth
+   one, at most 256 times 255, meet in one. 4. Buckets answer each block with the log probabilities
    of its own strings, and the block scores its texts. Words for the base model
    take the same way. Blocks and buckets are packed arrays, streamed in order,
-   so a task holds one bucket's or one block's distinct strings.
+   so a task holds one bucket's or one block's distinct strings. A block sends
+   a row to each bucket that it has strings for, so rows are never more than
+   the distinct strings of all blocks, which grow with the input. A text longer
+   than a block is a block of its own and is held whole by its task.
 
 Null texts count as empty: an end mark alone. A null id counts as empty text
 where its remainder is taken. Repeated rows are learned and scored each. With no
@@ -34,7 +38,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -49,7 +53,6 @@ from tidewatch.llm import common
 DEPTH, ROOTS = 6, 3  # bytes of context; depth of the subtrees that buckets hold
 BLOCK_BYTES = 32 << 20
 END = b"\xff"  # stands before and after a text; no UTF-8 text holds it
-SPREAD = 3  # partitions for each block or bucket, so that few share one by chance
 STRIDE = 2 << 20  # positions that are worked on at a time
 U = np.uint64
 
@@ -172,14 +175,18 @@ def log10_of(strings: np.ndarray, counts: np.ndarray, depth: int, roots: int, to
     return np.log10(np.where(bits, one, 1 - one)).reshape(8, -1).sum(axis=0)
 
 
-def join_top(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, roots: int) -> State:
-    """The state that the top of the tree leaves the subtrees' roots."""
+def rise(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray, steps: int) -> list[Level]:
+    """Levels from weighted nodes on, so many depths up."""
     first = Level(key, zeros, ones, None)
     first.weighted = weighted
     chain = [first]
-    for _ in range(roots):
+    for _ in range(steps):
         chain.append(chain[-1].parents())
-    state = State.root(chain[-1])
+    return chain
+
+
+def descend(chain: list[Level], state: State) -> State:
+    """The state of the lowest level of a chain, given that of its highest."""
     for level, child in zip(chain[:0:-1], chain[-2::-1], strict=True):
         state = state.below(level, child)
     return state
@@ -253,7 +260,7 @@ class Sum:
 
 DOCS = "block long, doc_id {kind}, held_out boolean, text binary"
 PARTS = "block long, bucket int, kind int, keys binary, numbers binary"
-WORDS, STRINGS = 0, 1
+WORDS, STRINGS, ROOT, STATE = 0, 1, 2, 3
 
 
 def to_blocks(docs: DataFrame, *, fold: int, block_bytes: int) -> DataFrame:
@@ -326,11 +333,11 @@ def count_blocks(blocks: DataFrame, *, depth: int, roots: int, buckets: int) ->
                     for t in texts:
                         (asked if held else words).update(t.split())
             asked -= words.keys()
-            by: list[list[bytes]] = [[] for _ in range(buckets)]
+            by: dict[int, list[bytes]] = defaultdict(list)
             for w in [*words, *asked]:
                 by[zlib.crc32(w) % buckets].append(w)
             out = []
-            for i, held_words in enumerate(by):
+            for i, held_words in by.items():
                 if held_words:
                     n = np.array([words[w] if w in words else 0 for w in held_words], np.int64)
                     out.append((block, i, WORDS, zstandard.compress(b" ".join(held_words), 1), _z(n)))
@@ -338,10 +345,9 @@ def count_blocks(blocks: DataFrame, *, depth: int, roots: int, buckets: int) ->
             of = bucket_of(key, depth, roots, buckets)
             order = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[order], np.arange(buckets + 1, dtype=U))
-            for i in range(buckets):
-                if ends[i] < ends[i + 1]:
-                    at = order[ends[i] : ends[i + 1]]
-                    out.append((block, i, STRINGS, pack_sorted(key[at]), _z(n[at])))
+            for i in np.flatnonzero(ends[:-1] < ends[1:]).tolist():
+                at = order[ends[i] : ends[i + 1]]
+                out.append((block, i, STRINGS, pack_sorted(key[at]), _z(n[at])))
             if out:
                 yield _batch(out)
 
@@ -350,8 +356,9 @@ def count_blocks(blocks: DataFrame, *, depth: int, roots: int, buckets: int) ->
 
 def weigh(parts: DataFrame, *, depth: int, roots: int, buckets: int) -> DataFrame:
     """One row for each bucket and kind with the summed counts (kinds WORDS and
-    STRINGS) and one with its subtrees' roots (kind STRINGS + 1)."""
-    dealt = parts.select("bucket", "kind", "keys", "numbers").repartition(SPREAD * buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    STRINGS) and one for each newest byte of context with the subtrees' roots
+    (kind ROOT, the byte in place of the block)."""
+    dealt = parts.select("bucket", "kind", "keys", "numbers").repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(_rows(batches, ["bucket", "kind", "keys", "numbers"])):
@@ -371,36 +378,65 @@ def weigh(parts: DataFrame, *, depth: int, roots: int, buckets: int) -> DataFram
             key, n = strings.total()
             if len(key):
                 root = levels(key, n, depth, roots)[0][-1]
-                yield _batch(
-                    [
-                        (0, bucket, STRINGS, pack_sorted(key), _z(n)),
-                        (0, bucket, STRINGS + 1, pack_sorted(root.key), _z(np.stack([root.zeros, root.ones, root.weighted]))),
-                    ]
-                )
+                byte = root.key >> U(8 * roots)
+                ends = np.searchsorted(byte, np.arange(257, dtype=U))
+                out = [(0, bucket, STRINGS, pack_sorted(key), _z(n))]
+                for i in np.flatnonzero(ends[:-1] < ends[1:]).tolist():
+                    part = slice(ends[i], ends[i + 1])
+                    out.append((i, bucket, ROOT, pack_sorted(root.key[part]), _z(np.stack([root.zeros[part], root.ones[part], root.weighted[part]]))))
+                yield _batch(out)
 
     return dealt.mapInArrow(run, PARTS)
 
 
-def weigh_top(model: DataFrame, *, roots: int) -> DataFrame:
-    """For each bucket the state of its subtrees' roots. All roots meet in one
-    task, packed: their number is bounded by the alphabet, not by the corpus."""
-    roots_only = model.where(F.col("kind") == STRINGS + 1).select("bucket", "keys", "numbers").repartition(1)
+def _roots_of_a_byte(rows: list[tuple], steps: int) -> tuple[list[np.ndarray], list[Level]]:
+    """The keys of each row and the chain from all of them up."""
+    keys = [unpack_sorted(r[3]) for r in rows]
+    values = np.concatenate([_unz(r[4], np.float64).reshape(3, -1) for r in rows], axis=1)
+    return keys, rise(np.concatenate(keys), *values, steps)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sorted(_rows(batches, ["bucket", "keys", "numbers"]))
-        if not held:
+
+def weigh_top(model: DataFrame, *, roots: int) -> DataFrame:
+    """For each bucket and newest byte of context the state of its subtrees'
+    roots (kind STATE). Bytes are worked on apart; of the nodes of depth one,
+    which alone meet in one task, there are at most 256 times 255."""
+    kinds = ["block", "bucket", "kind", "keys", "numbers"]
+    held = model.where(F.col("kind") == ROOT).select(*kinds)
+    by_byte = held.repartitionById(64, F.pmod("block", F.lit(64)).cast("int")).sortWithinPartitions("block", "bucket")
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for byte, rows in _runs(_rows(batches, kinds)):
+            top = _roots_of_a_byte(list(rows), roots - 1)[1][-1]
+            order = np.argsort(top.key)
+            yield _batch([(byte, -1, ROOT, pack_sorted(top.key[order]), _z(np.stack([top.zeros, top.ones, top.weighted])[:, order]))])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(_rows(batches, kinds))
+        if not rows:
             return
-        keys = [unpack_sorted(k) for _, k, _ in held]
-        values = np.concatenate([_unz(v, np.float64).reshape(3, -1) for *_, v in held], axis=1)
-        state = join_top(np.concatenate(keys), *values, roots)
-        at = 0
-        for (bucket, *_), k in zip(held, keys, strict=True):
+        keys, chain = _roots_of_a_byte(rows, 1)
+        state, at = descend(chain, State.root(chain[-1])), 0
+        for row, k in zip(rows, keys, strict=True):
             part = slice(at, at + len(k))
             at += len(k)
-            packed = _z(np.stack([state.so_far[part], state.left[part], state.unseen[part]]))
-            yield _batch([(0, bucket, STRINGS + 2, b"", packed)])
+            yield _batch([(row[0], -1, STATE, pack_sorted(k), _z(np.stack([state.so_far[part], state.left[part], state.unseen[part]])))])
 
-    return roots_only.mapInArrow(run, PARTS)
+    firsts = common.settle(by_byte.mapInArrow(up, PARTS), "ctw-firsts")
+    states = common.settle(firsts.repartition(1).mapInArrow(join, PARTS), "ctw-first-states")
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for byte, rows in _runs(_rows(batches, kinds)):
+            (*_, first_keys, first_state), *own = rows  # the state's bucket is -1
+            keys, chain = _roots_of_a_byte(own, roots - 1)
+            held, place = _unz(first_state, np.float64).reshape(3, -1), np.searchsorted(unpack_sorted(first_keys), chain[-1].key)
+            state, at = descend(chain, State(*held[:, place])), 0
+            for row, k in zip(own, keys, strict=True):
+                part = slice(at, at + len(k))
+                at += len(k)
+                yield _batch([(byte, row[1], STATE, b"", _z(np.stack([state.so_far[part], state.left[part], state.unseen[part]])))])
+
+    both = held.unionByName(states).repartitionById(64, F.pmod("block", F.lit(64)).cast("int")).sortWithinPartitions("block", "bucket")
+    return both.mapInArrow(down, PARTS)
 
 
 def answer(parts: DataFrame, model: DataFrame, top: DataFrame, *, depth: int, roots: int, buckets: int) -> DataFrame:
@@ -412,24 +448,28 @@ def answer(parts: DataFrame, model: DataFrame, top: DataFrame, *, depth: int, ro
         .select(F.lit(0).alias("turn"), *kinds)
         .unionByName(parts.select(F.lit(1).alias("turn"), *kinds))
     )
-    dealt = both.repartition(SPREAD * buckets, "bucket").sortWithinPartitions("bucket", "turn", "kind", "block")
+    dealt = both.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "turn", "kind", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _runs(_rows(batches, ["bucket", "turn", "kind", "block", "keys", "numbers"])):
             words: dict[bytes, int] = {}
-            key, n, told = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.float32)
+            key, n, told = np.zeros(0, U), np.zeros(0, np.int64), None
+            states: list[np.ndarray] = []  # by newest byte, as the roots' keys rise
             for _, turn, kind, block, keys, numbers in rows:
                 if turn == 0 and kind == WORDS:
                     words = dict(zip(zstandard.decompress(keys).split(b" "), _unz(numbers, np.int64).tolist(), strict=True))
                 elif turn == 0 and kind == STRINGS:
                     key, n = unpack_sorted(keys), _unz(numbers, np.int64)
                 elif turn == 0:
-                    state = State(*_unz(numbers, np.float64).reshape(3, -1))
-                    told = log10_of(key, n, depth, roots, state).astype(np.float32)
+                    states.append(_unz(numbers, np.float64).reshape(3, -1))
                 elif kind == WORDS:
                     found = [words.get(w, 0) for w in zstandard.decompress(keys).split(b" ")]
                     yield _batch([(block, bucket, kind, keys, _z(np.array(found, np.int64)))])
                 else:
+                    if told is None:
+                        top = State(*np.concatenate(states, axis=1)) if states else None
+                        told = log10_of(key, n, depth, roots, top).astype(np.float32)
+                        states.clear()
                     yield _batch([(block, bucket, kind, keys, _z(told[np.searchsorted(key, unpack_sorted(keys))]))])
 
     return dealt.mapInArrow(run, PARTS)
@@ -460,7 +500,7 @@ RESULT = (
 )
 
 
-def score_blocks(blocks: DataFrame, answers: DataFrame, *, depth: int, tokens: int, distinct: int, texts: int, n: int) -> DataFrame:
+def score_blocks(blocks: DataFrame, answers: DataFrame, *, depth: int, tokens: int, distinct: int, texts: int, n: int, sources: int) -> DataFrame:
     kind = blocks.schema["doc_id"].dataType.simpleString()
     nothing = F.lit(None)
     both = answers.select(
@@ -468,7 +508,9 @@ def score_blocks(blocks: DataFrame, answers: DataFrame, *, depth: int, tokens: i
     ).unionByName(
         blocks.select("block", F.lit(9).alias("kind"), "doc_id", "held_out", F.col("text").alias("keys"), nothing.cast("binary").alias("numbers"))
     )
-    dealt = both.repartition(SPREAD * n, "block").sortWithinPartitions("block", "kind")
+    # a block's number is its input partition's and its place there: a task each, or few
+    place = F.pmod(F.shiftright("block", 32) + F.col("block").bitwiseAND(F.lit((1 << 32) - 1)) * sources, F.lit(n)).cast("int")
+    dealt = both.repartitionById(n, place).sortWithinPartitions("block", "kind")
     scale = math.log10(tokens + 0.5 * (distinct + 1))
     unknown, end = math.log10(0.5) - scale, math.log10(texts + 0.5) - scale
 
@@ -529,7 +571,10 @@ def score(docs: DataFrame, *, fold: int = 1, depth: int = DEPTH, roots: int = RO
     if not 1 <= roots < depth <= 7:
         raise ValueError("depth must lie between roots + 1 and 7")
     blocks = common.settle(to_blocks(docs, fold=fold, block_bytes=block_bytes), "ctw-blocks")
-    size = blocks.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts")).first()
+    size = blocks.agg(
+        F.sum(F.octet_length("text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("texts"),
+        F.approx_count_distinct("block").alias("blocks"), F.max(F.shiftright("block", 32)).alias("last"),
+    ).first()
     buckets = max(16, -(-(size["bytes"] or 0) // block_bytes))
     shape = {"depth": depth, "roots": roots, "buckets": buckets}
     parts = common.settle(count_blocks(blocks, **shape), "ctw-parts")
@@ -540,8 +585,9 @@ def score(docs: DataFrame, *, fold: int = 1, depth: int = DEPTH, roots: int = RO
     tokens = (words.agg(F.sum("block").alias("n")).first()["n"] or 0) + size["texts"]
     answers = answer(parts, model, top, **shape)
     return score_blocks(
-        blocks, answers, depth=depth, tokens=tokens, distinct=distinct + (size["texts"] > 0), texts=size["texts"], n=buckets
-    )
+        blocks, answers, depth=depth, tokens=tokens, distinct=distinct + (size["texts"] > 0), texts=size["texts"],
+        n=max(1, size["blocks"]), sources=1 + (size["last"] or 0),
+    )
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
