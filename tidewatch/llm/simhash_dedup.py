@@ -15,6 +15,11 @@ zero of the second segment set, which meets every pair once from its smaller
 side. The third segment's budget and the full distance are checked in the join.
 Two fingerprints that share no such key cannot be within the radius.
 
+Where copies are asked for by similarity, the default of the pipeline's stage,
+these links are candidates only: each is held against the shingle sets
+themselves, and what lies beyond the radius is found by `jaccard`, so that the
+groups are those of every pair that reaches the similarity.
+
 Null texts count as empty; texts without words have fingerprint zero and link
 like any other. Repeated rows fall into one class. Rows of a null id take part
 as a class of their own id: component_id is the smallest non-null id of its
@@ -54,7 +59,11 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The fingerprint as a signed 64-bit integer."""
-    hashes = shingle_hashes(text, shingle)
+    return majority(shingle_hashes(text, shingle))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     if not len(hashes):
         return 0
     votes = np.zeros(64, np.int64)
@@ -71,14 +80,14 @@ def fingerprints(docs: DataFrame, *, text: str = "text", out: str = "fingerprint
     return _printed(docs.select("doc_id", text), out)
 
 
-def _printed(rows: DataFrame, out: str) -> DataFrame:
+def _printed(rows: DataFrame, out: str, shingle: int = SHINGLE) -> DataFrame:
     """The first column of rows, and the fingerprint of the text in its second."""
     key = rows.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1)
-            values = pa.array([fingerprint(texts[i].as_py()) for i in range(len(texts))], pa.int64())
+            values = pa.array([fingerprint(texts[i].as_py(), shingle) for i in range(len(texts))], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), values], names=[key, out])
 
     kind = rows.schema[key].dataType.simpleString()
@@ -121,7 +130,7 @@ def links(prints: DataFrame) -> DataFrame:
     )
 
 
-def _groups(classes: DataFrame) -> DataFrame:
+def with_groups(classes: DataFrame) -> DataFrame:
     """classes (column `f`, distinct fingerprints) with their components `g`."""
     edges = common.settle(links(classes.select("f")).distinct(), "links")
     groups = common.connected_components(edges, src="a", dst="b")
@@ -132,7 +141,7 @@ def components(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (long), component_id of every row of docs."""
     prints = common.settle(fingerprints(docs), "simhash")
     classes = common.settle(prints.groupBy(F.col("fingerprint").alias("f")).agg(F.min("doc_id").alias("least")), "classes")
-    named = _groups(classes)
+    named = with_groups(classes)
     least = named.groupBy("g").agg(F.min("least").alias("component_id"))
     member = named.join(least, "g").select("f", "component_id")
     return prints.join(member, F.col("fingerprint") == F.col("f")).select("doc_id", "fingerprint", "component_id")
@@ -151,13 +160,20 @@ def survivors(grouped: DataFrame) -> DataFrame:
     return grouped.groupBy("g").agg(F.min_by("doc", first).alias("doc")).select("doc.*")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, *, similarity: tuple[int, int] | None = None, shingle: int = SHINGLE) -> DataFrame:
     """One row of each near-duplicate group, chosen among rows: that of the
     smallest doc_id, nulls last, then of the smallest text. A group of null ids
-    keeps one too, and texts that share an id are judged each. Columns as given."""
+    keeps one too, and texts that share an id are judged each. Columns as given.
+
+    Groups are those of RADIUS differing bits, or with a similarity (numerator,
+    denominator) those of all pairs whose sets of shingles reach it."""
+    if similarity is not None:
+        from tidewatch.llm import jaccard
+
+        return jaccard.keep_one(docs, similarity=similarity, shingle=shingle)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
-    prints = common.settle(_printed(whole, "fingerprint"), "simhash-rows")
-    groups = _groups(prints.select(F.col("fingerprint").alias("f")).distinct()).select("f", "g")
+    prints = common.settle(_printed(whole, "fingerprint", shingle), "simhash-rows")
+    groups = with_groups(prints.select(F.col("fingerprint").alias("f")).distinct()).select("f", "g")
     return survivors(prints.join(groups, F.col("fingerprint") == F.col("f")).select("doc", "g"))
 
 
