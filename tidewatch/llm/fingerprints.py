@@ -142,11 +142,11 @@ def in_ranges(docs: DataFrame, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
 def with_next(docs: DataFrame, *, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """_slot, _range, _row, doc_id, text and the text of the next document, _next."""
     ranged = in_ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), range_bytes=range_bytes)
-    inside = W.partitionBy("_slot", "_range").orderBy(F.desc("doc_id"), F.desc("_crc"), F.desc("text"))
+    inside = W.partitionBy("_range").orderBy(F.desc("doc_id"), F.desc("_crc"), F.desc("text"))
     own = ranged.select(
         "_slot", "_range", "doc_id", "text", F.row_number().over(inside).alias("_row"), F.lead("text").over(inside).alias("_lead")
     )
-    tops = ranged.groupBy("_slot", "_range").agg(F.max(F.struct("doc_id", "_crc", "text")).alias("top"))
+    tops = ranged.groupBy("_range").agg(F.max(F.struct("doc_id", "_crc", "text")).alias("top"), F.first("_slot").alias("_slot"))
     return _after(own, tops.select("_slot", "_range", F.col("top.text").alias("_top")), "_lead", "_top", "_next")
 
 
@@ -175,7 +175,7 @@ def document_prints(docs: DataFrame) -> DataFrame:
     both = with_next(docs).select(
         "_slot", "_range", "_row", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited")
     )
-    key = ["_slot", "_range", "_row", "doc_id", "n_chars", "edited_sha256", "_edited"]
+    key = ["_range", "_slot", "_row", "doc_id", "n_chars", "edited_sha256", "_edited"]
     sides = both.withColumn("edited_sha256", F.sha2("edited", 256)).select(
         *key[:-1],
         F.expr("inline(array(named_struct('_edited', false, 'body', text), named_struct('_edited', true, 'body', edited)))"),
@@ -202,7 +202,7 @@ def fingerprint_documents(docs: DataFrame, *, search_every: int = SEARCH_EVERY)
     rows = document_prints(docs)
     asked = F.col("doc_id") % search_every == 0
     counts = near_counts(rows, rows.where(asked).select("fingerprint"))
-    inside = W.partitionBy("_slot", "_range").orderBy("_row")
+    inside = W.partitionBy("_range").orderBy("_row")
     lead = rows.withColumn("_lead", F.lead("fingerprint").over(inside))
     tops = rows.where("_row = 1").select("_slot", "_range", F.col("fingerprint").alias("_top"))
     full = _after(lead, tops, "_lead", "_top", "_next")
