@@ -19,10 +19,11 @@ from array import array
 
 import regex
 
-#: An encoder remembers so many distinct chunks twice over, the younger and the
-#: elder; the elder are forgotten when the younger are so many, but for those met
-#: since. A bound on a worker's memory; results don't depend on it.
-MAX_WORDS = 250_000
+#: An encoder remembers so many distinct chunks. Further ones are encoded each
+#: time they come, until AFRESH times as many have been; then all are forgotten and
+#: the next ones remembered. Bounds on a worker's memory and on stale memory;
+#: results don't depend on them.
+MAX_WORDS, AFRESH = 500_000, 4
 #: Characters that are cut into words at a time.
 STRIDE = 2_000_000
 
@@ -60,21 +61,22 @@ class _Words(dict):
 
     def __init__(self, start: dict):
         super().__init__(start)
-        self.fixed, self.elder = dict(start), {}
+        self.fixed, self.beyond = dict(start), 0
         self.pending: dict[str, bytearray] = {}
 
-    def __missing__(self, chunk: str) -> bytes | bytearray:
-        known = self.elder.pop(chunk, None)
-        if known is None:
-            return self.pending.setdefault(chunk, bytearray())
-        self[chunk] = known
-        return known
+    def __missing__(self, chunk: str) -> bytearray:
+        return self.pending.setdefault(chunk, bytearray())
 
-    def grow_old(self) -> None:
-        """The younger become the elder, whom nobody met is forgotten."""
-        self.elder = dict(self)
-        self.clear()
-        self.update(self.fixed)
+    def remember(self) -> None:
+        """Takes in the pending chunks, now encoded, or counts them."""
+        if len(self) >= MAX_WORDS:
+            self.beyond += len(self.pending)
+            if self.beyond > AFRESH * MAX_WORDS:
+                self.beyond = 0
+                self.clear()
+                self.update(self.fixed)
+        if len(self) < MAX_WORDS:
+            self.update([(c, bytes(put)) for c, put in self.pending.items()])
 
 
 class WordBpe:
@@ -175,7 +177,7 @@ class WordBpe:
                 shared += 1
             del last[shared:]
             for i in range(shared + 1, n):
-                last.append(state(word[max(0, i - most) : i], i, last, self.inner, self.inner_ends))
+                last.append(state(word[:i] if i <= most else word[i - most : i], i, last, self.inner, self.inner_ends))
             end, ids, i = state(word[-most:], n, last, self.final, self.final_ends), [], n
             while True:
                 ids.append(end)
@@ -213,7 +215,7 @@ class WordBpe:
 
     def learn(self, pending: dict[str, bytearray]) -> None:
         """Puts the packed uint32 ids of white-space-free chunks in place."""
-        if len(self.pairs) > 2 * MAX_WORDS:
+        if len(self.pairs) > MAX_WORDS:
             self.pairs.clear()
         symbols, parts, words = self.symbols, {}, set()
         if self.by_library:
@@ -235,9 +237,7 @@ class WordBpe:
             for c, cut in parts.items():
                 found = ids[cut[0]] if len(cut) == 1 else [i for w in cut for i in ids[w]]
                 pending[c][:] = array("I", found).tobytes()
-        self.words.update([(c, bytes(put)) for c, put in pending.items()])
-        if len(self.words) > MAX_WORDS:
-            self.words.grow_old()
+        self.words.remember()
 
     @property
     def library(self):
