@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +67,19 @@ def release(*frames: DataFrame) -> None:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2_000) -> Iterator[None]:
+    """Jobs inside send Python workers so many rows at a time: batches that hold
+    whole texts are kept small on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
