@@ -140,7 +140,7 @@ def graded(data: Rows, half: np.ndarray, n_terms: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int = SAMPLE) -> Model:
-    known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
+    known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)").distinct()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
     chosen = texts.join(known, "doc_id").groupBy("_text", "y").agg(F.min("doc_id").alias("doc_id"))
     chosen = chosen.orderBy(F.xxhash64("_text", "y"), "_text", "y").limit(sample)
@@ -243,9 +243,16 @@ def severity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not toxic; rows of a null id stay."""
-    bad = severity(docs, labels).where("toxic = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that are not toxic. Rows are judged each by their own text,
+    those of a null or shared id too, where they lie: nothing is shuffled."""
+    model = fit(docs, labels)
+
+    @F.arrow_udf("boolean")
+    def civil(texts: pa.Array) -> pa.Array:
+        activity = np.array([model.activity(t.as_py()) for t in texts], np.float64)
+        return pa.array(model.above(activity)[:, 0] < CUT)
+
+    return docs.where(civil("text"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
