@@ -197,6 +197,20 @@ def test_toxicity_edge_cases(spark, documents, no_documents):
     assert toxicity.severity(no_documents, odd).count() == 0
 
 
+def test_rows_of_one_id_are_judged_each(spark):
+    docs, labels, rows = labelled(spark)
+    fine = next(t for _, t, q, x in rows if q and not x)
+    poor, toxic = next(t for _, t, q, _ in rows if not q), next(t for _, t, _, x in rows if x)
+    for keep, wrong in ((quality.keep_good, poor), (toxicity.keep_civil, toxic)):
+        pairs = [(i, t) for i in (None, 9001) for t in (fine, wrong)] * 2
+        more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(pairs, "doc_id long, text string"))
+        more = more.withColumns({c: F.lit("own") for c in ("key_a", "score", "doc", "toxic")})
+        kept = keep(more, labels)
+        assert kept.columns == more.columns
+        got = [(r["doc_id"], r["text"]) for r in kept.where("doc_id IS NULL OR doc_id = 9001").collect()]
+        assert sorted(got, key=str) == sorted([(None, fine), (9001, fine)] * 2, key=str)
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs, labels, rows = labelled(spark)
     schema = "doc_id long, text string, lang string, source string, n_chars long"

@@ -76,19 +76,25 @@ def statistics(text: str | None) -> np.ndarray:
     )
 
 
+def _key(text: str = "text") -> list[Column]:
+    """128 bits that stand for a row's id and text, so that rows are judged each;
+    they spread an id that a third of all rows share."""
+    return [F.xxhash64("doc_id", text).alias("key_a"), F.xxhash64(F.lit(1), "doc_id", text).alias("key_b")]
+
+
 def document_statistics(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """doc_id, key_a and key_b (see _key), stats of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1)
+            texts = b.column(3)
             rows = np.array([statistics(texts[i].as_py()) for i in range(len(texts))], np.float64).reshape(-1, N_STATS)
             ends = np.arange(0, rows.size + 1, N_STATS, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))], names=["doc_id", "stats"]
-            )
+            stats = pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], stats], names=["doc_id", "key_a", "key_b", "stats"])
 
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, stats array<double>")
+    return docs.select("doc_id", *_key(text), text).mapInArrow(run, f"doc_id {kind}, key_a long, key_b long, stats array<double>")
 
 
 @dataclass
@@ -136,7 +142,7 @@ def pool_adjacent(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality") -> Model:
     """stats: settled document_statistics; labels: doc_id and a 0/1 column."""
-    train = stats.join(labels.select("doc_id", F.col(label).cast("double").alias("y")).where("y IS NOT NULL"), "doc_id")
+    train = stats.drop("key_a", "key_b").join(labels.select("doc_id", F.col(label).cast("double").alias("y")).where("y IS NOT NULL"), "doc_id")
     train = common.settle(train.withColumn("part", part_of(F.col("doc_id"))).where("part <> 0"), "quality-train")
     at = [F.col("stats")[i] for i in range(N_STATS)]
     row = train.agg(
@@ -192,8 +198,8 @@ def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality") -> Model
     return model
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row of docs."""
+def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, key_a, key_b, score of every row of docs."""
     stats = common.settle(document_statistics(docs), "quality-stats")
     model = fit(stats, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -201,10 +207,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             score = model.score(_matrix(b.column("stats")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(score)], names=["doc_id", "key_a", "key_b", "score"])
 
-    scored = stats.select("doc_id", "stats").mapInArrow(run, f"doc_id {kind}, score double")
-    return scored.select(
+    return stats.mapInArrow(run, f"doc_id {kind}, key_a long, key_b long, score double")
+
+
+def classify(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row of docs."""
+    return _scored(docs, labels).select(
         "doc_id",
         (part_of(F.col("doc_id")) == 0).alias("held_out"),
         "score",
@@ -212,10 +222,12 @@ def classify(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFra
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject; rows of a null id stay."""
-    bad = classify(docs, labels).where("predicted = 0").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def keep_good(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFrame:
+    """The documents that the classifier does not reject. Rows are judged each
+    by their own text, those of a null or shared id too."""
+    bad = _scored(docs, labels).where(F.col("score") < cut).select("key_a", "key_b").distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *_key())
+    return whole.join(bad, ["key_a", "key_b"], "left_anti").select("doc.*")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
