@@ -254,6 +254,9 @@ def test_streaming_upserts_keep_the_last_arrival(spark, tmp_path):
         upserts.upsert_days(stream, out, str(tmp_path / "check")).awaitTermination()
     held = {r["tx_hash"]: r["amount"] for r in spark.read.parquet(out).collect()}
     assert held == {"h": 2.0, "own0": 7.0, "own1": 7.0}
+    arrive([("T", "h", 0, t, a) for a in (4.0, 5.0, 3.0)], "b2")
+    upserts.upsert_days(stream, out, str(tmp_path / "check")).awaitTermination()
+    assert [r["amount"] for r in spark.read.parquet(out).where("tx_hash = 'h'").collect()] == [5.0]
 
 
 def test_csv_and_document_round_trip(spark, tmp_path):

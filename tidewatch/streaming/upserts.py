@@ -26,8 +26,8 @@ def daily_counts(stream: DataFrame, *, time: str = "block_time", delay: str = "2
 
 def upsert_days(stream: DataFrame, path: str, checkpoint: str, *, time: str = "block_time") -> StreamingQuery:
     """Each micro-batch merges into the day partitions it touches; the last
-    arrival of a key wins. Rewriting whole partitions makes a repeated batch
-    harmless."""
+    arrival of a key wins, within a batch the latest and then the greatest row.
+    Rewriting whole partitions makes a repeated batch harmless."""
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark: SparkSession = batch.sparkSession
@@ -41,7 +41,9 @@ def upsert_days(stream: DataFrame, path: str, checkpoint: str, *, time: str = "b
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
-        merged = latest(new, ["day", *TRANSFER_KEY], ["_epoch", time]).drop("_epoch")
+        key = ["day", *TRANSFER_KEY]
+        whole = F.struct(*sorted(c for c in batch.columns if c not in key))
+        merged = latest(new, key, ["_epoch", time, whole]).drop("_epoch")
         held = settle(merged, "upsert")  # its sources are overwritten next
         held.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
