@@ -62,6 +62,14 @@ def join_limbs(sums: list, digits: int = 18) -> str:
     return str(sum(int(s or 0) * 10 ** (digits * i) for i, s in enumerate(sums)))
 
 
+def scaled_round(x: Column, digits: int) -> Column:
+    """x at so many digits after the point, as SQL's engine rounds doubles: scaled
+    up, rounded half away from zero, scaled down. F.round goes by the decimal
+    digits, which is another number where a double has few binary places left."""
+    scaled = x * F.lit(10.0**digits)
+    return F.when(F.abs(scaled) < F.lit(float("inf")), F.round(scaled) / F.lit(10.0**digits)).otherwise(x)
+
+
 def significant(x: Column, digits: int = 5) -> Column:
     """x at so many significant digits; null stays null, infinities become null."""
     finite = x.isNotNull() & (F.abs(x) < F.lit(float("inf")))

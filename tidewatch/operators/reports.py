@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from tidewatch.functions.stats import significant
+from tidewatch.functions.stats import scaled_round, significant
 from tidewatch.operators.quality import impossible_turnover
 from tidewatch.operators.scoring import METHODS
 
@@ -187,7 +187,7 @@ def figures(sections: Sections, *, digits: int = 6) -> DataFrame:
     out = None
     for name, (rows, item) in sections.items():
         numbers = [f.name for f in rows.schema.fields if isinstance(f.dataType, NumericType) and f.name not in item]
-        cells = [F.struct(F.lit(c).alias("field"), F.round(F.col(c).cast("double"), digits).alias("value")) for c in numbers]
+        cells = [F.struct(F.lit(c).alias("field"), scaled_round(F.col(c).cast("double"), digits).alias("value")) for c in numbers]
         part = rows.select(F.lit(name).alias("section"), _item(item).alias("item"), F.inline(F.array(*cells)))
         out = part if out is None else out.unionByName(part)
     return out
